@@ -1,0 +1 @@
+"""Ledger reports are batch snapshots; there is no streaming work to express."""
