@@ -76,12 +76,12 @@ def conversions(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES
     entries = []
     for i, target in enumerate(targets):
         for priority, is_open, price in _routes(i, target):
-            entries.append(F.when(is_open, F.struct(
-                F.lit(target).alias("currency"), F.lit(priority).alias("priority"),
-                price.alias("price"))))
+            entries.append(F.struct(
+                is_open.alias("open"), F.lit(target).alias("currency"),
+                F.lit(priority).alias("priority"), price.alias("price")))
     return (_with_book(prices, conversion_book(prices, targets, stage))
-            .select("ticker", "quote", "calendar_date",
-                    F.inline(F.array_compact(F.array(*entries)))))
+            .select("ticker", "quote", "calendar_date", F.inline(F.array(*entries)))
+            .filter("open").drop("open"))
 
 
 def best_routes(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,

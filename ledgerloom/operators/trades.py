@@ -14,23 +14,24 @@ from ledgerloom.sources.scratch import LAZY, fits_broadcast
 def rate_book(rates: DataFrame, settings: LedgerSettings = LedgerSettings()) -> DataFrame:
     """Per (ticker, month): for target i its end-of-month and start-of-month rate.
 
-    The start of a month is the end of the one before, so the rates are stacked
-    with a copy moved one month ahead and folded into one row per key. Whether
-    target i has a row this month is kept apart from its rate, which may be NULL.
+    The start of a month is the end of the one before, so each rate serves two
+    months and one aggregate folds the uses into a row per key. Whether target i
+    has a row this month is kept apart from its rate, which may be NULL.
     """
-    none = F.lit(None)
-    current = rates.select("ticker", "calendar_month", "currency",
-                           F.col("price").alias("eom"), none.cast("double").alias("som"),
-                           F.lit(True).alias("listed"))
-    before = rates.select("ticker", F.add_months("calendar_month", 1).alias("calendar_month"),
-                          "currency", none.cast("double").alias("eom"),
-                          F.col("price").alias("som"), none.cast("boolean").alias("listed"))
+    rate, listed = F.col("price"), F.lit(True)
+    number, flag = F.lit(None).cast("double"), F.lit(None).cast("boolean")
+    month = F.col("calendar_month")
+    uses = F.array(*[
+        F.struct(m.alias("calendar_month"), eom.alias("eom"), som.alias("som"), own.alias("listed"))
+        for m, eom, som, own in ((month, rate, number, listed),
+                                 (F.add_months(month, 1), number, rate, flag))])
     cells = []
     for i, target in enumerate(settings.targets):
         hit = F.col("currency") == target
         for name in ("eom", "som", "listed"):
             cells.append(F.max(F.when(hit, F.col(name))).alias(f"{name}_{i}"))
-    return current.unionByName(before).groupBy("ticker", "calendar_month").agg(*cells)
+    return (rates.select("ticker", "currency", F.inline(uses))
+            .groupBy("ticker", "calendar_month").agg(*cells))
 
 
 def rate_lookups(exchanges: DataFrame, rates: DataFrame,
@@ -60,19 +61,26 @@ def rate_lookups(exchanges: DataFrame, rates: DataFrame,
               for i in range(len(settings.targets)) for n in ("eom", "som", "listed")}
     counter = counter.withColumnsRenamed(rename)
 
-    per_target = [
-        F.when(F.col(f"listed_{i}"), F.struct(
-            F.lit(target).alias("ex_currency"),
-            F.col(f"som_{i}").alias("som_price"), F.col(f"eom_{i}").alias("eom_price"),
-            F.col(f"c_som_{i}").alias("c_som_price"), F.col(f"c_eom_{i}").alias("c_eom_price")))
-        for i, target in enumerate(settings.targets)
-    ]
+    listed = [F.coalesce(F.col(f"listed_{i}"), F.lit(False))
+              for i in range(len(settings.targets))]
+    per_target = []
+    for i, target in enumerate(settings.targets):
+        rates_of = {"som_price": f"som_{i}", "eom_price": f"eom_{i}",
+                    "c_som_price": f"c_som_{i}", "c_eom_price": f"c_eom_{i}"}
+        keep = listed[i]
+        if i == 0:
+            # The row that stays when no target lists the ticker.
+            keep = keep | ~F.greatest(*listed) if len(listed) > 1 else F.lit(True)
+        per_target.append(F.struct(
+            keep.alias("keep"), F.when(listed[i], F.lit(target)).alias("ex_currency"),
+            *[F.when(listed[i], F.col(c)).alias(name) for name, c in rates_of.items()]))
     return (trades
             .join(book, ["ticker", "calendar_month"], "left")
             .join(counter, ["currency", "calendar_month"], "left")
             .select("calendar_month", "calendar_date", "ticker", "currency", "units",
                     "original_trade_price", F.dayofmonth("calendar_date").alias("days_passed"),
-                    F.inline_outer(F.array_compact(F.array(*per_target)))))
+                    F.inline(F.array(*per_target)))
+            .filter("keep").drop("keep"))
 
 
 def _interpolated(start: Column, end: Column, elapsed: Column) -> Column:

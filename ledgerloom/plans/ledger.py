@@ -30,19 +30,22 @@ class LedgerTables:
 class Ledger:
     """Derived frames of a ledger, each built once per instance.
 
-    With a ``Stage`` the frames named in ``shared``, those that several reports
-    read, are written once to the shared folder; without one all stays lazy.
+    With a ``Stage`` the frames named in ``shared``, those that several actions
+    read, are written once to the shared folder, and so are rates too large to
+    be known as broadcastable; without one all stays lazy. Within one action
+    Spark computes a frame's exchange once however often the plan reads it.
     """
 
     def __init__(self, tables: LedgerTables, settings: LedgerSettings = LedgerSettings(),
-                 stage=LAZY, shared: tuple[str, ...] = ("exchange_rates",)):
+                 stage=LAZY, shared: tuple[str, ...] = ()):
         self.tables = tables
         self.settings = settings
         self.stage = stage
         self.shared = shared
 
     def _share(self, df: DataFrame, name: str) -> DataFrame:
-        return self.stage.always(df, name) if name in self.shared else df
+        keep = self.stage.always if name in self.shared else self.stage.if_uncertain
+        return keep(df, name)
 
     @cached_property
     def exchange_rates(self) -> DataFrame:
@@ -58,7 +61,7 @@ class Ledger:
     def positions(self) -> DataFrame:
         held = positions.positions(self.tables.transactions, self.tables.exchanges,
                                    self.exchange_rates, self.settings)
-        return self._share(held, "positions")
+        return self.stage.always(held, "positions") if "positions" in self.shared else held
 
     @cached_property
     def trade_income(self) -> DataFrame:

@@ -74,31 +74,34 @@ VIEWS = {
     """,
 }
 
-_staged: dict[tuple[str, str], DataFrame] = {}
+# Small base tables that aggregate the large inputs, which several operators read.
+LOADED = ("prices", "balances", "category_mapping")
+
+_known: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _known:
+        _known[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _known[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view as a lazy frame, down to the scans of the driver's tables.
+    """A derived view; lazy down to the scans of the driver's tables.
 
-    Prices are a base table of the ledger that many operators read several
-    times, and here an aggregate over the largest input: they are written once
-    per session and read back, as a loaded table would be.
+    Only the ``LOADED`` ones are written, once per session, and read back as a
+    loaded table would be.
     """
     if name in SOURCES:
         return source(spark, sf_dir, name)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if name == "prices" and key in _staged:
-        return _staged[key]
-    text = VIEWS[name]
-    inputs = {n: view(spark, sf_dir, n) for n in (*SOURCES, *VIEWS) if "{" + n + "}" in text}
-    df = spark.sql(text, **inputs)
-    if name == "prices":
-        df = _staged[key] = Stage(spark).always(df, "prices")
-    return df
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _known:
+        text = VIEWS[name]
+        inputs = {n: view(spark, sf_dir, n) for n in (*SOURCES, *VIEWS) if "{" + n + "}" in text}
+        df = spark.sql(text, **inputs)
+        _known[key] = Stage(spark).always(df, name) if name in LOADED else df
+    return _known[key]
 
 
 def ledger_tables(spark: SparkSession, sf_dir: str) -> LedgerTables:

@@ -306,14 +306,12 @@ ORACLES: dict[str, str] = {
         select {GAIN_COLUMNS.rstrip(', ')} from lookups"""),
     "trade_price_estimate": sql(REPORT, (RATES, TRADES), f"""
         select calendar_date, ticker, currency, units, original_trade_price, ex_currency,
-               {rnds('c_price linear_estimate c_linear_estimate proportional_estimate', 6)},
-               {rnds('final_estimate', 6)}
+               c_price, linear_estimate, c_linear_estimate, proportional_estimate, final_estimate
         from estimates"""),
     "trade_income": sql(REPORT, (RATES, TRADES), f"""
         select {GAIN_COLUMNS}
-               {rnds('trade_income c_trade_income total_trade_income direct_trade_income', 6)},
-               {rnds('final_estimate c_price linear_estimate c_linear_estimate', 6)},
-               {rnds('proportional_estimate', 6)}
+               trade_income, c_trade_income, total_trade_income, direct_trade_income,
+               final_estimate, c_price, linear_estimate, c_linear_estimate, proportional_estimate
         from gains"""),
     "converted_expenses": sql(REPORT, (RATES, CONVERTED_EXPENSES), f"""
         select calendar_month, category, subcategory, currency, {rnds('expenses')}

@@ -22,7 +22,7 @@ from ledgerloom.plans.ledger import Ledger
 from ledgerloom.plans.run import adjusted_transactions
 from ledgerloom.settings import EXPENSES, INCOME, LedgerSettings
 from ledgerloom.sources import csv_files
-from ledgerloom.sources.scratch import LAZY, Stage
+from ledgerloom.sources.scratch import Stage
 from workload.fixtures import ledger_tables, source, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,8 +50,8 @@ def rounded(digits: int, *columns: str) -> Callable[[Query], Query]:
     return decorate
 
 
-def ledger(spark: SparkSession, sf_dir: str, staged: bool = False) -> Ledger:
-    return Ledger(ledger_tables(spark, sf_dir), SETTINGS, Stage(spark) if staged else LAZY)
+def ledger(spark: SparkSession, sf_dir: str, *shared: str) -> Ledger:
+    return Ledger(ledger_tables(spark, sf_dir), SETTINGS, Stage(spark), shared)
 
 
 # --- exchange rates -----------------------------------------------------------
@@ -120,20 +120,18 @@ QUERIES["positions"] = QUERIES.pop("positions_view")
 @query
 @rounded(2, "position", "avg_position")
 def allocation(spark, sf_dir):
-    return ledger(spark, sf_dir, staged=True).allocation
+    return ledger(spark, sf_dir).allocation
 
 
 # --- trade income and the balance sheet ---------------------------------------
 
 @query
 def trade_rate_lookup(spark, sf_dir):
-    book = ledger(spark, sf_dir, staged=True)
+    book = ledger(spark, sf_dir)
     return trades.rate_lookups(book.tables.exchanges, book.exchange_rates, SETTINGS, book.stage)
 
 
 @query
-@rounded(6, "c_price", "linear_estimate", "c_linear_estimate", "proportional_estimate",
-         "final_estimate")
 def trade_price_estimate(spark, sf_dir):
     return (trades.price_estimates(trade_rate_lookup(spark, sf_dir), SETTINGS)
             .select("calendar_date", "ticker", "currency", "units", "original_trade_price",
@@ -142,11 +140,8 @@ def trade_price_estimate(spark, sf_dir):
 
 
 @query
-@rounded(6, "trade_income", "c_trade_income", "total_trade_income", "direct_trade_income",
-         "final_estimate", "c_price", "linear_estimate", "c_linear_estimate",
-         "proportional_estimate")
 def trade_income(spark, sf_dir):
-    return ledger(spark, sf_dir, staged=True).trade_income
+    return ledger(spark, sf_dir).trade_income
 
 
 @query
@@ -159,7 +154,7 @@ def converted_expenses(spark, sf_dir):
 @query
 @rounded(2, "income")
 def converted_income(spark, sf_dir):
-    book = ledger(spark, sf_dir, staged=True)
+    book = ledger(spark, sf_dir)
     return reports.converted_income(book.tables.transactions, book.exchange_rates,
                                     book.full_category_mapping, SETTINGS)
 
@@ -167,21 +162,21 @@ def converted_income(spark, sf_dir):
 @query
 @rounded(2, "income")
 def valuation_income(spark, sf_dir):
-    book = ledger(spark, sf_dir, staged=True)
+    book = ledger(spark, sf_dir)
     return reports.valuation_income(book.positions, book.full_category_mapping)
 
 
 @query
 @rounded(2, "income")
 def trade_income_by_category(spark, sf_dir):
-    book = ledger(spark, sf_dir, staged=True)
+    book = ledger(spark, sf_dir)
     return reports.trade_income_by_category(book.trade_income, book.full_category_mapping)
 
 
 @query
 @rounded(2, "income", "expenses")
 def balance_report(spark, sf_dir):
-    return ledger(spark, sf_dir, staged=True).balance
+    return ledger(spark, sf_dir, "exchange_rates").balance
 
 
 # --- reconciliation -----------------------------------------------------------
