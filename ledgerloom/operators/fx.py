@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates
 from ledgerloom.functions.values import case, is_one_of, ratio
 from ledgerloom.settings import REPORTING_CURRENCIES
-from ledgerloom.sources.scratch import LAZY
+from ledgerloom.sources.scratch import staging
 
 DIRECT, ONWARD, REVERSE = 1, 2, 3
 
@@ -31,8 +31,9 @@ def rate_grid(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES)
 
 
 def conversion_book(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                    stage=LAZY) -> DataFrame:
+                    stage=None) -> DataFrame:
     """Per (quote, date): for target i its onward price and its reverse divisor."""
+    stage = staging(prices, stage)
     quotes = stage.if_uncertain(
         prices.select(F.col("currency").alias("quote")).distinct(), "quotes")
     onward = (prices.filter(is_one_of(F.col("currency"), targets))
@@ -71,7 +72,7 @@ def _routes(i: int, target: str) -> list[tuple[int, Column, Column]]:
 
 
 def conversions(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                stage=LAZY) -> DataFrame:
+                stage=None) -> DataFrame:
     """Every open route of every price row, several per row where several exist."""
     entries = []
     for i, target in enumerate(targets):
@@ -85,7 +86,7 @@ def conversions(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES
 
 
 def best_routes(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                stage=LAZY) -> DataFrame:
+                stage=None) -> DataFrame:
     """One row per price row and target: its best route, NULL where it has none."""
     entries = []
     for i, target in enumerate(targets):
@@ -103,7 +104,7 @@ _DAY_BIT = "shiftleft(1, day(calendar_date) - 1)"
 
 
 def consolidation(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                  stage=LAZY) -> DataFrame:
+                  stage=None) -> DataFrame:
     """Distinct best-route prices of each (ticker, currency, month).
 
     A date without any route contributes a row with NULL price and priority; a
@@ -123,7 +124,7 @@ def consolidation(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCI
 
 
 def exchange_rates(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                   stage=LAZY) -> DataFrame:
+                   stage=None) -> DataFrame:
     """ticker, currency, calendar_month, price: one rate per month and target.
 
     The best route of the month wins; equal ones are settled by the latest

@@ -85,7 +85,8 @@ def assign_ids(stored: DataFrame, start: int = 1, name: str = "id") -> DataFrame
     table = stored.sparkSession.createDataFrame(
         offsets, T.StructType([T.StructField("_file", T.StringType()),
                                T.StructField("_offset", T.LongType())]))
-    return located.join(table, "_file").select(
+    # One small row per file: no more than the listing the driver plans scans with.
+    return located.join(F.broadcast(table), "_file").select(
         (F.col("_offset") + F.col("_position")).alias(name),
         *[c for c in stored.columns if c != name])
 

@@ -72,19 +72,30 @@ def transfer_flows(transfers: DataFrame) -> DataFrame:
     return summed_flows(transfer_legs(transfers), FLOWS[4:6])
 
 
-def reconciliation(balances: DataFrame, transactions: DataFrame, exchanges: DataFrame,
-                   transfers: DataFrame, settings: LedgerSettings = LedgerSettings()) -> DataFrame:
-    """Each latest stated balance beside the balance the ledger adds up to.
+def ledger_flows(transactions: DataFrame, exchanges: DataFrame,
+                 transfers: DataFrame) -> DataFrame:
+    """All six flows per (account, currency) from one pass over each ledger.
 
-    All legs are stacked and summed in one aggregate over (account, currency):
-    three scans, one shuffle of partial sums. Every ledger row counts, whatever
-    its date or its count_to_balance flag.
+    The legs are stacked and summed in one aggregate, so only partial sums are
+    shuffled. Every row counts, whatever its date or count_to_balance flag.
     """
-    legs = (cash_legs(transactions)
-            .unionByName(trade_legs(exchanges))
-            .unionByName(transfer_legs(transfers)))
+    return summed_flows(cash_legs(transactions)
+                        .unionByName(trade_legs(exchanges))
+                        .unionByName(transfer_legs(transfers)))
+
+
+def add_movements(flows: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Flows after further transactions, without reading the ledger again."""
+    further = summed_flows(cash_legs(transactions))
+    return (flows.unionByName(further).groupBy("account", "currency")
+            .agg(*[F.sum(name).alias(name) for name in FLOWS]))
+
+
+def against_flows(balances: DataFrame, flows: DataFrame,
+                  settings: LedgerSettings = LedgerSettings()) -> DataFrame:
+    """Each latest stated balance beside the balance the flows add up to."""
     checked = (latest_balances(balances)
-               .join(summed_flows(legs), ["account", "currency"], "left")
+               .join(flows, ["account", "currency"], "left")
                .fillna(0.0, list(FLOWS)))
     total = F.col(FLOWS[0])
     for name in FLOWS[1:]:
@@ -96,6 +107,11 @@ def reconciliation(balances: DataFrame, transactions: DataFrame, exchanges: Data
         *FLOWS)
 
 
+def reconciliation(balances: DataFrame, transactions: DataFrame, exchanges: DataFrame,
+                   transfers: DataFrame, settings: LedgerSettings = LedgerSettings()) -> DataFrame:
+    return against_flows(balances, ledger_flows(transactions, exchanges, transfers), settings)
+
+
 def validation_report(checked: DataFrame,
                       settings: LedgerSettings = LedgerSettings()) -> DataFrame:
     """Reconciled rows that fail, largest gap first; empty when the ledger is valid."""

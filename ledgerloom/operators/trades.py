@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates
 from ledgerloom.functions.values import is_one_of, ratio
 from ledgerloom.settings import PURCHASE, LedgerSettings
-from ledgerloom.sources.scratch import LAZY, fits_broadcast
+from ledgerloom.sources.scratch import fits_broadcast, staging
 
 
 def rate_book(rates: DataFrame, settings: LedgerSettings = LedgerSettings()) -> DataFrame:
@@ -35,13 +35,14 @@ def rate_book(rates: DataFrame, settings: LedgerSettings = LedgerSettings()) ->
 
 
 def rate_lookups(exchanges: DataFrame, rates: DataFrame,
-                 settings: LedgerSettings = LedgerSettings(), stage=LAZY) -> DataFrame:
+                 settings: LedgerSettings = LedgerSettings(), stage=None) -> DataFrame:
     """Counted trades with the rates of both legs at the month's start and end.
 
     One row per trade and reporting currency in which its ticker has a rate row
     that month; a trade whose ticker has none keeps one row without rates. The
     rows multiply only after both lookups, so no copy is ever shuffled.
     """
+    stage = staging(exchanges, stage)
     date = F.col("calendar_date")
     trades = exchanges.filter("count_to_balance").select(
         "calendar_date", dates.month_start(date).alias("calendar_month"),
@@ -131,5 +132,5 @@ def gains(estimates: DataFrame) -> DataFrame:
 
 
 def trade_income(exchanges: DataFrame, rates: DataFrame,
-                 settings: LedgerSettings = LedgerSettings(), stage=LAZY) -> DataFrame:
+                 settings: LedgerSettings = LedgerSettings(), stage=None) -> DataFrame:
     return gains(price_estimates(rate_lookups(exchanges, rates, settings, stage), settings))

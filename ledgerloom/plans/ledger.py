@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators import fx, mapping, positions, reconcile, reports, trades
 from ledgerloom.settings import LedgerSettings
-from ledgerloom.sources.scratch import LAZY
+from ledgerloom.sources.scratch import staging
 
 VIEWS = ("exchange_rates", "full_category_mapping", "positions", "trade_income")
 
@@ -23,24 +23,22 @@ class LedgerTables:
     balances: DataFrame
     category_mapping: DataFrame
 
-    def with_transactions(self, transactions: DataFrame) -> LedgerTables:
-        return replace(self, transactions=transactions)
-
 
 class Ledger:
     """Derived frames of a ledger, each built once per instance.
 
-    With a ``Stage`` the frames named in ``shared``, those that several actions
-    read, are written once to the shared folder, and so are rates too large to
-    be known as broadcastable; without one all stays lazy. Within one action
-    Spark computes a frame's exchange once however often the plan reads it.
+    The frames named in ``shared``, those that several actions read, are written
+    once to the shared folder, and so are rates too large to be known as
+    broadcastable; the rest stays lazy (all of it with the stage ``LAZY``).
+    Within one action Spark computes a frame's exchange once however often the
+    plan reads it.
     """
 
     def __init__(self, tables: LedgerTables, settings: LedgerSettings = LedgerSettings(),
-                 stage=LAZY, shared: tuple[str, ...] = ()):
+                 stage=None, shared: tuple[str, ...] = ()):
         self.tables = tables
         self.settings = settings
-        self.stage = stage
+        self.stage = staging(tables.prices, stage)
         self.shared = shared
 
     def _share(self, df: DataFrame, name: str) -> DataFrame:
@@ -77,11 +75,20 @@ class Ledger:
     def allocation(self) -> DataFrame:
         return reports.allocation(self.positions, self.full_category_mapping)
 
+    @cached_property
+    def flows(self) -> DataFrame:
+        flows = reconcile.ledger_flows(self.tables.transactions, self.tables.exchanges,
+                                       self.tables.transfers)
+        return self.stage.always(flows, "flows") if "flows" in self.shared else flows
+
     @cached_property
     def reconciliation(self) -> DataFrame:
-        return reconcile.reconciliation(
-            self.tables.balances, self.tables.transactions, self.tables.exchanges,
-            self.tables.transfers, self.settings)
+        return reconcile.against_flows(self.tables.balances, self.flows, self.settings)
+
+    def reconciliation_after(self, transactions: DataFrame) -> DataFrame:
+        """The reconciliation as it would be with further transactions booked."""
+        return reconcile.against_flows(
+            self.tables.balances, reconcile.add_movements(self.flows, transactions), self.settings)
 
     @cached_property
     def validation_report(self) -> DataFrame:

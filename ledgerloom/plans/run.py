@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import dates
-from ledgerloom.operators import ingest, maintenance
+from ledgerloom.operators import ingest, maintenance, reconcile
 from ledgerloom.plans.ledger import Ledger, LedgerTables
 from ledgerloom.settings import EXPENSES, LedgerSettings
 from ledgerloom.sources import csv_files
-from ledgerloom.sources.scratch import LAZY
 from ledgerloom.sources.snapshots import SnapshotTables
 
 LOAD_ORDER = ("income", "expenses", "exchange", "transf", "balances", "prices")
@@ -115,31 +114,24 @@ def open_tables(tables: SnapshotTables) -> LedgerTables:
                            for name, schema in schemas.TABLES.items()})
 
 
-def adjusted_transactions(transactions: DataFrame, fixes: DataFrame) -> DataFrame:
-    """The ledger with fixes booked as further expenses."""
-    booked = ingest.tag_expenses(fixes)
-    return ingest.append_rows(transactions, booked).select(*transactions.columns)
-
-
 def settle(tables: SnapshotTables, settings: LedgerSettings, stage,
            adjusted_csv: str | None = None) -> Outcome:
     """Validate the ledger and adjust small discrepancies, or leave it as it was.
 
-    The adjusted ledger is validated before it is published, so a failed
-    adjustment has nothing to undo. Only verdicts reach the driver.
+    The ledger is summed once; the verdict, the fixes and the check of the fixes
+    all read those sums. The fixes are checked before they are published, so a
+    failed adjustment has nothing to undo. Only verdicts reach the driver.
     """
-    ledger = Ledger(open_tables(tables), settings, stage)
+    ledger = Ledger(open_tables(tables), settings, stage, ("flows",))
     if ledger.validation_report.isEmpty():
         return Outcome.VALID
     if ledger.adjustment_flag.first()["adjust_allowed"] is not True:
         return Outcome.MAJOR_DISCREPANCIES
-    before = ledger.tables.transactions
-    fixes = stage.always(ledger.adjustment_entries, "fixes")
-    candidate = ledger.tables.with_transactions(adjusted_transactions(before, fixes))
-    if not Ledger(candidate, settings).validation_report.isEmpty():
+    booked = stage.always(ingest.tag_expenses(ledger.adjustment_entries), "booked")
+    checked = ledger.reconciliation_after(booked)
+    if not reconcile.validation_report(checked, settings).isEmpty():
         return Outcome.ROLLED_BACK
-    booked = stage.always(ingest.tag_expenses(fixes), "booked")
-    numbered = maintenance.assign_ids(booked, _next_id(before))
+    numbered = maintenance.assign_ids(booked, _next_id(ledger.tables.transactions))
     tables.append("transactions", numbered.select(*schemas.TRANSACTIONS.names))
     if adjusted_csv:
         export_expenses(tables, adjusted_csv)
@@ -157,7 +149,7 @@ def export_expenses(tables: SnapshotTables, path: str) -> None:
 
 
 def publish_reports(tables: SnapshotTables, folder: str, settings: LedgerSettings,
-                    stage=LAZY) -> None:
+                    stage=None) -> None:
     ledger = Ledger(open_tables(tables), settings, stage, ("exchange_rates", "positions"))
     csv_files.write_csv(ledger.balance, f"{folder}/balance.csv")
     csv_files.write_csv(ledger.allocation, f"{folder}/positions.csv")

@@ -73,7 +73,11 @@ class Stage:
 
 
 class NoStage:
-    """Keeps every result lazy; one plan, sized by adaptive execution at run time."""
+    """Keeps every result lazy: one plan, sized by adaptive execution at run time.
+
+    For inputs known to be small. A lookup that stays an aggregate inside the
+    plan is not a plain shuffle, so Spark cannot split a skewed join against it.
+    """
 
     def always(self, df: DataFrame, name: str) -> DataFrame:
         return df
@@ -83,3 +87,8 @@ class NoStage:
 
 
 LAZY = NoStage()
+
+
+def staging(df: DataFrame, stage: Stage | NoStage | None) -> Stage | NoStage:
+    """The given stage, or one in the shared folder of the frame's session."""
+    return stage or Stage(df.sparkSession)

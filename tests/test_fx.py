@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 
 from ledgerloom.operators import fx
-from ledgerloom.sources.scratch import Stage
+from ledgerloom.sources.scratch import LAZY, Stage
 from tests.conftest import day, rows
 
 D = "2023-01-31"
@@ -116,7 +116,7 @@ def brute_force_rates(prices, targets=("USD", "BRL")):
 def test_rates_equal_brute_force(make, spark, seed):
     prices = random_prices(seed)
     want = brute_force_rates(prices)
-    for stage in (fx.LAZY, Stage(spark)):
+    for stage in (LAZY, Stage(spark)):
         df = fx.exchange_rates(make.prices(*prices), stage=stage)
         got = {(r["ticker"], r["currency"], str(r["calendar_month"])[:7]): r["price"]
                for r in df.collect()}
@@ -125,7 +125,7 @@ def test_rates_equal_brute_force(make, spark, seed):
 
 def test_staged_lookups_give_the_same_rates(make, spark):
     df = make.prices(*random_prices(4))
-    want = rows(fx.exchange_rates(df))
+    want = rows(fx.exchange_rates(df, stage=LAZY))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert rows(fx.exchange_rates(df, stage=Stage(spark))) == want

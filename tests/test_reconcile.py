@@ -86,3 +86,13 @@ def test_flag_is_null_without_discrepancy_and_true_below_zero(make):
 def test_noise_below_the_scale_is_no_discrepancy(make):
     df = check(make, [("A", D, "USD", 0.3)], [cash(0.1), cash(0.2)])
     assert df.first()["difference"] == 0.0
+
+
+def test_added_movements_equal_a_longer_ledger(make):
+    first, more = [cash(5), cash(-2), cash(1, "B")], [cash(-7), cash(4, "C"), cash(3)]
+    flows = reconcile.ledger_flows(make.transactions(*first), make.exchanges(trade("Sale")),
+                                   make.transfers())
+    added = reconcile.add_movements(flows, make.transactions(*more))
+    whole = reconcile.ledger_flows(make.transactions(*first, *more), make.exchanges(trade("Sale")),
+                                   make.transfers())
+    assert rows(added) == rows(whole)

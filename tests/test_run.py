@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.plans import run as runs
+from ledgerloom.plans.ledger import VIEWS, Ledger
+from ledgerloom.settings import LedgerSettings
+from ledgerloom.sources.scratch import Stage
+from ledgerloom.sources.snapshots import SnapshotTables
+from tests.conftest import rows
+
+MOVEMENT = "tag,amount,account,calendar_date,category,subcategory,currency,count_to_balance\n"
+FILES = {
+    "income": MOVEMENT + "pay,100,A,1/1/2023,Work,Salary,USD,True\n",
+    "expenses": MOVEMENT + "shop,30,A,15/01/2023,Home,Food,USD,True\n",
+    "exchange": "ticker,account,calendar_date,price,units,tax,exchange_type,currency,tax_currency,"
+                "count_to_balance\nX,A,10/1/2023,5,2,0,Purchase,USD,USD,True\n",
+    "transf": "source_acc,destination_acc,calendar_date,amount,currency,count_to_balance\n"
+              "A,B,20/1/2023,10,USD,True\n",
+    "prices": "Ticker,Currency,31/12/2022,31/01/2023\nX,USD,4,6\nUSD,BRL,5,5.5\nBRL,BRL,1,1\n",
+    "income_mapping": "category,subcategory,currency,category_type\nStocks,Growth,X,Income\n"
+                      "Stocks,Growth,X,Income\n",
+}
+BALANCES = "account,calendar_date,currency,amount\n"
+
+
+@pytest.fixture
+def start(spark, tmp_path):
+    def build(*balances: str, **changed: str):
+        folder = tmp_path / "csv"
+        folder.mkdir()
+        texts = {**FILES, **changed, "balances": BALANCES + "".join(b + "\n" for b in balances)}
+        for name, text in texts.items():
+            (folder / f"{name}.csv").write_text(text)
+        files = runs.LedgerFiles({n: str(folder / f"{n}.csv") for n in texts},
+                                 str(tmp_path / "reports"))
+        tables = SnapshotTables(spark, str(tmp_path / "tables"))
+        stage = Stage(spark, str(tmp_path / "stage"))
+        runs.load(tables, "income_mapping", files.extracts["income_mapping"], stage)
+        return tables, files, stage
+    return build
+
+
+def ledger_rows(tables):
+    return rows(tables.read("transactions").select(
+        "id", "tag", "amount", "category", "subcategory", "transaction_type"))
+
+
+PAY = (1, "pay", 100.0, "Work", "Salary", "Income")
+SHOP = (2, "shop", -30.0, "Home", "Food", "Expenses")
+
+
+def test_valid_ledger_is_reported(start, spark):
+    tables, files, stage = start("A,31/1/2023,USD,1", "A,31/1/2023,USD,50", "A,31/1/2023,X,2",
+                                 "B,31/1/2023,USD,10")
+    assert runs.run(tables, files, stage) is runs.Outcome.VALID
+    assert ledger_rows(tables) == [PAY, SHOP]
+    assert tables.read("category_mapping").count() == 1
+
+    balance = spark.read.option("header", True).csv(files.reports + "/balance.csv")
+    assert balance.columns == ["calendar_month", "category", "subcategory", "currency", "income",
+                               "expenses"]
+    got = {tuple(r[1:]) for r in balance.filter("currency = 'USD'").collect()}
+    # 2 X bought at 5 and worth 6 at the end of the month.
+    assert ("Work", "Salary", "USD", "100.0", None) in got
+    assert ("Home", "Food", "USD", None, "30.0") in got
+    assert ("Stocks", "Growth", "USD", "2.0", None) in got
+    held = spark.read.option("header", True).csv(files.reports + "/positions.csv")
+    stocks = held.filter("currency = 'USD' and category = 'Stocks'").collect()
+    assert [float(r["position"]) for r in stocks] == [12.0]
+
+
+def test_small_differences_are_booked(start, spark):
+    tables, files, stage = start("A,31/1/2023,USD,52.5", "B,31/1/2023,USD,7")
+    assert runs.run(tables, files, stage) is runs.Outcome.ADJUSTED
+    assert sorted(ledger_rows(tables), key=lambda r: r[0])[:2] == [PAY, SHOP]
+    fixes = [r for r in ledger_rows(tables) if r[1] == "Fix"]
+    assert {r[0] for r in fixes} == {3, 4}
+    assert sorted(r[2:] for r in fixes) == [(-3.0, "Taxes", "Buy tax", "Expenses"),
+                                            (2.5, "Taxes", "Buy tax", "Expenses")]
+    checked = Ledger(runs.open_tables(tables)).reconciliation
+    assert checked.filter(F.col("difference") != 0).isEmpty()
+    # A second settlement finds nothing left to do.
+    assert runs.settle(tables, LedgerSettings(), stage) is runs.Outcome.VALID
+    # The exported expenses load again to the same ledger.
+    again = runs.LedgerFiles({**files.extracts,
+                              "expenses": files.reports + "/expenses_adjusted.csv"}, files.reports)
+    runs.load_all(tables, again, stage, ("income", "expenses"))
+    assert runs.settle(tables, LedgerSettings(), stage) is runs.Outcome.VALID
+
+
+def test_large_differences_are_left_alone(start):
+    tables, files, stage = start("A,31/1/2023,USD,90")
+    assert runs.run(tables, files, stage) is runs.Outcome.MAJOR_DISCREPANCIES
+    assert ledger_rows(tables) == [PAY, SHOP]
+
+
+def test_failed_adjustment_changes_nothing(start, monkeypatch):
+    tables, files, stage = start("A,31/1/2023,USD,52")
+    monkeypatch.setattr(Ledger, "reconciliation_after", lambda self, booked: self.reconciliation)
+    assert runs.run(tables, files, stage) is runs.Outcome.ROLLED_BACK
+    assert ledger_rows(tables) == [PAY, SHOP]
+
+
+def test_loading_stops_at_the_first_failure(start):
+    tables, files, stage = start("A,31/1/2023,USD,50", exchange="ticker\nX\n")
+    with pytest.raises(runs.LoadError, match="exchange"):
+        runs.run(tables, files, stage)
+    assert ledger_rows(tables) == [PAY, SHOP]
+    assert tables.current("transfers") is None
+
+
+def test_reloading_starts_tables_afresh(start):
+    tables, files, stage = start("A,31/1/2023,USD,50")
+    runs.load_all(tables, files, stage)
+    runs.load_all(tables, files, stage)
+    assert ledger_rows(tables) == [PAY, SHOP]
+
+
+def test_views_are_open_to_sql(start, spark):
+    tables, files, stage = start("A,31/1/2023,USD,50")
+    runs.load_all(tables, files, stage)
+    Ledger(runs.open_tables(tables), stage=stage).register_views("demo_")
+    for name in VIEWS:
+        assert spark.sql(f"select count(*) as n from demo_{name}").first()["n"] > 0
+    assert spark.sql("""select price from demo_exchange_rates where ticker = 'X'
+        and currency = 'BRL' and calendar_month = '2023-01-01'""").first()["price"] == 33.0

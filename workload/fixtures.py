@@ -14,6 +14,8 @@ from ledgerloom.sources.scratch import Stage
 
 SOURCES = ("nation", "customer", "part", "orders", "lineitem", "events")
 
+# The unpartitioned row_number in ``balances`` runs over one row per account and
+# instrument of the fixtures, of which there are some 500 at every scale.
 VIEWS = {
     "instruments": """
         select p_partkey,

@@ -19,7 +19,6 @@ from ledgerloom.operators import (
     fx, ingest, maintenance, mapping, positions, reconcile, reports, trades,
 )
 from ledgerloom.plans.ledger import Ledger
-from ledgerloom.plans.run import adjusted_transactions
 from ledgerloom.settings import EXPENSES, INCOME, LedgerSettings
 from ledgerloom.sources import csv_files
 from ledgerloom.sources.scratch import Stage
@@ -232,8 +231,7 @@ def adjustment_flag(spark, sf_dir):
 def adjusted_validation(spark, sf_dir):
     """Reconciliation of the ledger after its discrepancies are booked."""
     book = ledger(spark, sf_dir)
-    booked = adjusted_transactions(book.tables.transactions, book.adjustment_entries)
-    return Ledger(book.tables.with_transactions(booked), SETTINGS).reconciliation
+    return book.reconciliation_after(ingest.tag_expenses(book.adjustment_entries))
 
 
 # --- ingest -------------------------------------------------------------------
