@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Offsets of this many files are broadcast, some tens of megabytes at most.
+BROADCAST_FILES = 100_000
+
+
 def collapse_batch(batch: DataFrame, keys: Sequence[str], update: Sequence[str],
                    sequence: Sequence[str] = ()) -> DataFrame:
     """One row per key: updated columns from the last row, others from the first.
@@ -85,8 +89,9 @@ def assign_ids(stored: DataFrame, start: int = 1, name: str = "id") -> DataFrame
     table = stored.sparkSession.createDataFrame(
         offsets, T.StructType([T.StructField("_file", T.StringType()),
                                T.StructField("_offset", T.LongType())]))
-    # One small row per file: no more than the listing the driver plans scans with.
-    return located.join(F.broadcast(table), "_file").select(
+    if len(offsets) <= BROADCAST_FILES:
+        table = F.broadcast(table)
+    return located.join(table, "_file").select(
         (F.col("_offset") + F.col("_position")).alias(name),
         *[c for c in stored.columns if c != name])
 

@@ -52,8 +52,10 @@ class Ledger:
 
     @cached_property
     def full_category_mapping(self) -> DataFrame:
-        # Rates hold every priced ticker and are the shorter table.
-        return mapping.full_category_mapping(self.exchange_rates, self.tables.category_mapping)
+        # Rates hold every priced ticker; once written they are the shorter table.
+        priced = (self.exchange_rates if "exchange_rates" in self.shared
+                  else self.tables.prices)
+        return mapping.full_category_mapping(priced, self.tables.category_mapping)
 
     @cached_property
     def positions(self) -> DataFrame:

@@ -71,6 +71,12 @@ class Stage:
         """
         return df if fits_broadcast(df) else self.always(df, name)
 
+    def discard(self) -> None:
+        """Delete what this stage wrote, once nothing reads it any more."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        folder.getFileSystem(conf).delete(folder, True)
+
 
 class NoStage:
     """Keeps every result lazy: one plan, sized by adaptive execution at run time.

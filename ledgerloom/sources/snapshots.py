@@ -1,9 +1,11 @@
 """Ledger tables as numbered Parquet snapshots.
 
-A table is a folder of ``snapshot=N`` folders. The newest one that Spark has
-committed (it holds ``_SUCCESS``) is the table; a change writes the next one.
-The path being read is therefore never overwritten, a job that dies leaves the
-table as it was, and rolling back means not publishing.
+A table is a folder of ``snapshot=N`` folders, each holding ``part=K`` folders:
+part 0 is what was published, the further ones what was appended to it. A part
+counts once Spark has committed it (it holds ``_SUCCESS``); the newest snapshot
+with a committed part 0 is the table. A change writes the next snapshot, an
+addition the next part. The path being read is therefore never overwritten, a
+job that dies leaves the table as it was, and rolling back means not publishing.
 """
 
 from __future__ import annotations
@@ -19,46 +21,46 @@ class SnapshotTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _path(self, table: str, number: int) -> str:
-        return f"{self.root}/{table}/snapshot={number}"
-
-    def _numbers(self, table: str, committed: bool) -> list[int]:
+    def _numbers(self, path: str, key: str, committed: bool = False) -> list[int]:
+        """N of the ``key=N`` folders in a folder."""
         jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+        folder = jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         if not fs.exists(folder):
             return []
         numbers = []
         for entry in fs.listStatus(folder):
-            key, _, number = entry.getPath().getName().partition("=")
-            if key != "snapshot":
-                continue
+            name, _, number = entry.getPath().getName().partition("=")
             marker = jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-            if not committed or fs.exists(marker):
+            if name == key and (not committed or fs.exists(marker)):
                 numbers.append(int(number))
         return sorted(numbers)
 
+    def _snapshot(self, table: str, number: int) -> str:
+        return f"{self.root}/{table}/snapshot={number}"
+
     def current(self, table: str) -> int | None:
-        numbers = self._numbers(table, committed=True)
-        return numbers[-1] if numbers else None
+        for number in reversed(self._numbers(f"{self.root}/{table}", "snapshot")):
+            if 0 in self._numbers(self._snapshot(table, number), "part", committed=True):
+                return number
+        return None
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         number = self.current(table)
         if number is None:
             raise LookupError(f"table {table} has no committed snapshot under {self.root}")
-        reader = self.spark.read
-        if schema is not None:
-            return reader.schema(schema).parquet(self._path(table, number)).select(*schema.names)
-        return reader.parquet(self._path(table, number))
+        folder = self._snapshot(table, number)
+        parts = [f"{folder}/part={k}" for k in self._numbers(folder, "part", committed=True)]
+        reader = self.spark.read.option("basePath", folder)
+        if schema is None:
+            return reader.parquet(*parts).drop("part")
+        return reader.schema(schema).parquet(*parts).select(*schema.names)
 
     def publish(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         """Make ``df`` the table. It may read the snapshot it replaces."""
-        taken = self._numbers(table, committed=False)
+        taken = self._numbers(f"{self.root}/{table}", "snapshot")
         number = taken[-1] + 1 if taken else 1
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._path(table, number))
+        self._write(df, f"{self._snapshot(table, number)}/part=0", partition_by)
         return number
 
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
@@ -66,8 +68,14 @@ class SnapshotTables:
         number = self.current(table)
         if number is None:
             return self.publish(table, df, partition_by)
-        writer = df.write.mode("append")
+        folder = self._snapshot(table, number)
+        part = self._numbers(folder, "part")[-1] + 1
+        self._write(df, f"{folder}/part={part}", partition_by)
+        return number
+
+    @staticmethod
+    def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+        writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._path(table, number))
-        return number
+        writer.parquet(path)

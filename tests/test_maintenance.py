@@ -75,8 +75,11 @@ def test_snapshots_replace_append_and_roll_back(make, spark, tmp_path):
     assert rows(tables.read("t")) == [(1, "a", 1.0), (1, "a", 2.0)]
 
     # A write that never committed is not seen, and its number is not reused.
-    (tmp_path / "ledger" / "t" / "snapshot=3").mkdir()
+    (tmp_path / "ledger" / "t" / "snapshot=3" / "part=0").mkdir(parents=True)
+    (tmp_path / "ledger" / "t" / "snapshot=2" / "part=2").mkdir()
     assert tables.current("t") == 2
+    tables.append("t", df)
+    assert tables.read("t").count() == 3
     assert tables.publish("t", df) == 4
     assert rows(tables.read("t", df.schema)) == [(1, "a", 1.0)]
 
@@ -86,3 +89,13 @@ def test_partitioned_snapshot_keeps_its_columns(make, spark, tmp_path):
     df = make.balances(("A", "2023-01-31", "USD", 1.0), ("A", "2023-02-28", "USD", None))
     tables.publish("balances", df, ["calendar_date"])
     assert rows(tables.read("balances", df.schema)) == rows(df)
+    tables.append("balances", df, ["calendar_date"])
+    assert rows(tables.read("balances", df.schema)) == rows(df.unionByName(df))
+
+
+def test_stage_is_discarded(spark, tmp_path):
+    stage = Stage(spark, str(tmp_path / "stage"))
+    stage.always(spark.range(3), "three")
+    assert (tmp_path / "stage").exists()
+    stage.discard()
+    assert not (tmp_path / "stage").exists()
