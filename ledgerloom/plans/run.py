@@ -78,25 +78,41 @@ def _next_id(table: DataFrame) -> int:
     return (table.agg(F.max("id").alias("id")).first()["id"] or 0) + 1
 
 
-def _number(table: str, rows: DataFrame, start: int, stage) -> DataFrame:
-    if table not in WITH_IDS:
-        return rows
-    return maintenance.assign_ids(stage.always(rows, f"load_{table}"), start)
+def reject_violations(table: str, rows: DataFrame) -> None:
+    """Raise if rows break the table's mandatory columns or its primary key.
+
+    At most one row per column and one offending key reach the driver.
+    """
+    mandatory = [c for c in schemas.required_columns(table) if c in rows.columns]
+    missing = maintenance.not_null_violations(rows, mandatory).collect()
+    if missing:
+        raise ValueError("missing values: " + ", ".join(
+            f"{r['column_name']} ({r['violations']} rows)" for r in missing))
+    keys = schemas.PRIMARY_KEYS.get(table)
+    if keys and set(keys) <= set(rows.columns):
+        repeated = maintenance.primary_key_violations(rows, keys).first()
+        if repeated:
+            raise ValueError(f"repeated key: {repeated.asDict()}")
 
 
 def load(tables: SnapshotTables, dataset: str, path: str, stage) -> None:
-    """Load one extract: it replaces its table or, where two share one, adds to it."""
+    """Load one extract: it replaces its table or, where two share one, adds to it.
+
+    Rows are checked before anything is published. Ids are assigned from 1, or
+    on from the table's highest, so they need no check.
+    """
     table = TARGET[dataset]
-    rows = prepare(tables.spark, dataset, path)
-    start, current = 1, None
-    if dataset in ADDITIVE and tables.current(table) is not None:
-        current = tables.read(table, schemas.TABLES[table])
-        start = _next_id(current)
-    rows = _number(table, rows, start, stage).select(*schemas.TABLES[table].names)
-    if current is None:
-        tables.publish(table, rows, PARTITIONS.get(table, ()))
-    else:
+    rows = stage.always(prepare(tables.spark, dataset, path), f"load_{dataset}")
+    reject_violations(table, rows)
+    adds = dataset in ADDITIVE and tables.current(table) is not None
+    if table in WITH_IDS:
+        start = _next_id(tables.read(table, schemas.TABLES[table])) if adds else 1
+        rows = maintenance.assign_ids(rows, start)
+    rows = rows.select(*schemas.TABLES[table].names)
+    if adds:
         tables.append(table, rows)
+    else:
+        tables.publish(table, rows, PARTITIONS.get(table, ()))
 
 
 def load_all(tables: SnapshotTables, files: LedgerFiles, stage,

@@ -10,22 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session without that setting gets a temporary folder instead.
     """
     try:
         folder = spark.conf.get(CHECKPOINT_CONF)
-    except Exception:  # the setting is not registered or has no value
+    except Exception:  # the setting has no value
         folder = None
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
-        return folder
-    raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the executors")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the executors")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-")
+    return _local_folders[context.applicationId]
 
 
 def estimated_bytes(df: DataFrame) -> int:

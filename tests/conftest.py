@@ -13,8 +13,9 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory) -> SparkSession:
     builder = (SparkSession.builder.master("local[8]").appName("ledgerloom-tests")
-               .config("spark.sql.shuffle.partitions", "4")
-               .config("spark.default.parallelism", "2")
+               .config("spark.sql.shuffle.partitions", "2")
+               .config("spark.default.parallelism", "1")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")

@@ -126,3 +126,15 @@ def test_views_are_open_to_sql(start, spark):
         assert spark.sql(f"select count(*) as n from demo_{name}").first()["n"] > 0
     assert spark.sql("""select price from demo_exchange_rates where ticker = 'X'
         and currency = 'BRL' and calendar_month = '2023-01-01'""").first()["price"] == 33.0
+
+
+@pytest.mark.parametrize("changed, problem", [
+    ({"income": MOVEMENT + "pay,,A,1/1/2023,Work,,USD,True\n"},
+     r"income.*amount \(1 rows\), subcategory \(1 rows\)"),
+    ({"prices": "Ticker,Currency,31/1/2023\nX,USD,1\nX,USD,2\n"}, "prices.*repeated key"),
+])
+def test_rows_that_break_a_constraint_are_not_loaded(start, changed, problem):
+    tables, files, stage = start("A,31/1/2023,USD,50", **changed)
+    with pytest.raises(runs.LoadError, match=problem):
+        runs.load_all(tables, files, stage, tuple(changed))
+    assert tables.current(runs.TARGET[next(iter(changed))]) is None

@@ -33,7 +33,8 @@ SETTINGS = LedgerSettings(estimate_cutoff=dt.date(1998, 1, 1), scale=2)
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register under the function's name (``_`` ends one that an import has taken)."""
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -109,13 +110,10 @@ def valuation_change(spark, sf_dir):
 @query
 @rounded(2, "units", "avg_units", "prev_position", "position", "avg_position",
          "c_position", "c_avg_position", "c_value")
-def positions_view(spark, sf_dir):
+def positions_(spark, sf_dir):
     return ledger(spark, sf_dir).positions
 
 
-QUERIES["positions"] = QUERIES.pop("positions_view")
-
-
 @query
 @rounded(2, "position", "avg_position")
 def allocation(spark, sf_dir):
