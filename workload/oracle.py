@@ -49,7 +49,7 @@ chosen as (
   select *, {month('calendar_date')} as calendar_month,
          case when direct is not null then 1 when onward is not null then 2 else has_reverse end
            as priority,
-         coalesce(direct, onward, reverse) as price,
+         coalesce(direct, onward, reverse) as price
   from offers),
 per_date as (
   select *, bool_or(priority is not null) over (partition by ticker, target, calendar_date)
@@ -129,7 +129,7 @@ TRADES = f"""book as (
 lookups as (
   select {month('e.calendar_date')} as calendar_month, e.calendar_date, e.ticker, e.currency,
          if(exchange_type = 'Purchase', 1, -1) * units as units, e.price as original_trade_price,
-         day(e.calendar_date) as days_passed, a.target as ex_currency,
+         cast(day(e.calendar_date) as integer) as days_passed, a.target as ex_currency,
          a.som as som_price, a.eom as eom_price, c.som as c_som_price, c.eom as c_eom_price
   from exchanges e
   left join book a on a.ticker = e.ticker and a.listed
@@ -208,7 +208,7 @@ CASH = [flow_sum("transactions", "amount", "account", "transactions.currency", f
         for op in (">=", "<")]
 
 
-def trade_sum(received: str, paid: str) -> str:
+def trade_sum(received: str, paid: str) -> tuple[str, str]:
     return (flow_sum("exchanges", "units", "account", "ticker", f"exchange_type = '{received}'"),
             flow_sum("exchanges", "price * units", "account", "exchanges.currency",
                      f"exchange_type = '{paid}'"))
@@ -435,7 +435,7 @@ ORACLES: dict[str, str] = {
                             as o_totalprice)
         from orders""",
     "surrogate_id": sql(("transactions",), (), """
-        select count(*) as n, 1 as first_id, count(*) as last_id,
+        select count(*) as n, cast(1 as bigint) as first_id, count(*) as last_id,
                cast(count(*) * (count(*) + 1) / 2 as bigint) as id_sum, count(*) as n_ids
         from transactions"""),
     "check_primary_key": sql(("exchanges",), (), """
