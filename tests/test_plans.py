@@ -143,3 +143,10 @@ def test_a_hot_quote_is_split_in_the_shuffled_route_lookup(spark, make, small_sk
     df = fx.exchange_rates(quoted.unionByName(cross))
     assert "SortMergeJoin(skew=true)" in final_plan(df)
     assert df.filter("currency = 'USD' and price is not null").count() == 60301
+
+
+def test_the_ledger_is_summed_once_for_the_fixes_and_their_check(spark):
+    text = final_plan(QUERIES["adjusted_validation"](spark, SF))
+    executed = text.split("== Initial Plan ==")[0]
+    assert executed.count("lineitem.parquet") == 1
+    assert "ReusedExchange" in executed
