@@ -143,25 +143,30 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), wi
         ((w["start"] > 0) | (F.col("from") == 0)) & (w["end"] < F.length("around"))))
     free = F.filter(words, lambda w: ~F.exists("spans", lambda s: (
         (F.col("from") + w["start"] < s["end"]) & (s["start"] < F.col("from") + w["end"]))))
-    close = (mentions.join(known, "entity")
-             .select("entity", "n_entity", "copy", "from", F.explode(free).alias("w"))
-             .select("entity", "n_entity", "copy", F.lower("w.value").alias("term"),
-                     (F.col("from") + F.col("w.start")).alias("start"),
-                     (F.col("from") + F.col("w.end")).alias("end")))
-    close = written(close, "pii-context")
-    pairs = written(close.select("entity", "n_entity", "term", "copy").distinct()
+    close = written(
+        mentions.select("entity", "copy", "from", F.explode(free).alias("w"))
+        .select("entity", "copy", F.lower("w.value").alias("term"),
+                (F.col("from") + F.col("w.start")).alias("start"),
+                (F.col("from") + F.col("w.end")).alias("end")), "pii-context")
+    # Texts that have a term near any mention are no more than all that have it. Where they are
+    # too many already for the term to reveal an entity, it need not be counted in the corpus.
+    total = float(max(1, base.select("copy").distinct().count()))
+    seen = written(close.select("term", "copy").distinct()
+                   .groupBy("term").agg(F.count("*").alias("n_seen")), "pii-seen")
+    pairs = written(close.join(known, "entity").select("entity", "n_entity", "term", "copy").distinct()
                     .groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_both"))
                     .where(F.col("n_both") >= support), "pii-pairs")
+    most = F.col("n_both") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise_at))
+    pairs = written(pairs.join(seen, "term").where(F.col("n_seen") <= most * 1.000001)
+                    .drop("n_seen"), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-terms")
-    # Only words near protected values that recur are counted in the corpus.
     counts = written(
         texts.select(F.md5("text").alias("copy"),
                      F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)))
                      .alias("term"))
         .join(terms, "term").distinct().groupBy("term").agg(F.count("*").alias("n_term")), "pii-counts")
-    total = base.select(F.col("copy")).distinct().count()
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    pmi = F.log2(F.lit(float(max(total, 1))) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+    pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     scored = (pairs.join(counts, "term")
               .withColumn("ratio", F.when(information > 0, pmi / information).otherwise(0.0))
               .where(F.col("ratio") >= generalise_at))
