@@ -81,7 +81,8 @@ def describe(model: DomainModel, text: Column) -> Column:
             yield pd.DataFrame({"tokens": [len(t.encode("utf-8", "replace").split()) for t in rows],
                                 "p": [row for part in p for row in part]})
 
-    return run(F.coalesce(text, F.lit("")))
+    # So that a filter on the rate does not describe each text a second time.
+    return run.asNondeterministic()(F.coalesce(text, F.lit("")))
 
 
 def rate_after(history: list[list[float]], p: Column) -> Column:
