@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates
 from ledgerloom.functions.values import case, is_one_of, ratio
 from ledgerloom.settings import REPORTING_CURRENCIES
-from ledgerloom.sources.scratch import staging
+from ledgerloom.sources.scratch import LAZY
 
 DIRECT, ONWARD, REVERSE = 1, 2, 3
 
@@ -31,10 +31,13 @@ def rate_grid(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES)
 
 
 def conversion_book(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                    stage=None) -> DataFrame:
-    """Per (quote, date): for target i its onward price and its reverse divisor."""
-    stage = staging(prices, stage)
-    quotes = stage.if_uncertain(
+                    stage=LAZY) -> DataFrame:
+    """Per (quote, date): for target i its onward price and its reverse divisor.
+
+    A stage given writes the book, and before it the distinct quote currencies,
+    whatever their size.
+    """
+    quotes = stage.always(
         prices.select(F.col("currency").alias("quote")).distinct(), "quotes")
     onward = (prices.filter(is_one_of(F.col("currency"), targets))
               .withColumnRenamed("ticker", "quote")
@@ -52,7 +55,7 @@ def conversion_book(prices: DataFrame, targets: Sequence[str] = REPORTING_CURREN
         cells.append(F.min(F.when(hit, F.col("onward"))).alias(f"onward_{i}"))
         cells.append(F.min(F.when(hit, F.col("reverse"))).alias(f"reverse_{i}"))
     book = onward.unionByName(reverse).groupBy("quote", "calendar_date").agg(*cells)
-    return stage.if_uncertain(book, "conversion_book")
+    return stage.always(book, "conversion_book")
 
 
 def _with_book(prices: DataFrame, book: DataFrame) -> DataFrame:
@@ -72,7 +75,7 @@ def _routes(i: int, target: str) -> list[tuple[int, Column, Column]]:
 
 
 def conversions(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                stage=None) -> DataFrame:
+                stage=LAZY) -> DataFrame:
     """Every open route of every price row, several per row where several exist."""
     entries = []
     for i, target in enumerate(targets):
@@ -86,7 +89,7 @@ def conversions(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES
 
 
 def best_routes(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                stage=None) -> DataFrame:
+                stage=LAZY) -> DataFrame:
     """One row per price row and target: its best route, NULL where it has none."""
     entries = []
     for i, target in enumerate(targets):
@@ -104,7 +107,7 @@ _DAY_BIT = "shiftleft(1, day(calendar_date) - 1)"
 
 
 def consolidation(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                  stage=None) -> DataFrame:
+                  stage=LAZY) -> DataFrame:
     """Distinct best-route prices of each (ticker, currency, month).
 
     A date without any route contributes a row with NULL price and priority; a
@@ -124,7 +127,7 @@ def consolidation(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCI
 
 
 def exchange_rates(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                   stage=None) -> DataFrame:
+                   stage=LAZY) -> DataFrame:
     """ticker, currency, calendar_month, price: one rate per month and target.
 
     The best route of the month wins; equal ones are settled by the latest

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerloom.sources.scratch import LAZY
 
-# Offsets of this many files are broadcast, some tens of megabytes at most.
-BROADCAST_FILES = 100_000
+# Files are numbered inside this many groups, which are few enough for one task.
+FILE_GROUPS = 1024
 
 
 def collapse_batch(batch: DataFrame, keys: Sequence[str], update: Sequence[str],
@@ -37,13 +37,15 @@ def collapse_batch(batch: DataFrame, keys: Sequence[str], update: Sequence[str],
 
 
 def upsert(table: DataFrame, batch: DataFrame, keys: Sequence[str],
-           update: Sequence[str], sequence: Sequence[str] = ()) -> DataFrame:
+           update: Sequence[str], sequence: Sequence[str] = (), stage=LAZY) -> DataFrame:
     """Insert rows with new keys; on known keys overwrite only ``update`` columns.
 
-    The batch is looked up from the table's side, so a batch small enough to
-    broadcast leaves the table unshuffled; a large one shuffles by key.
+    A stage given writes the collapsed batch and those of its keys that the table
+    has, so their true sizes are known: a batch small enough to broadcast leaves
+    the table unshuffled, a large one shuffles it by key. Beside its rows, the
+    table's keys alone are read.
     """
-    source = collapse_batch(batch, keys, update, sequence)
+    source = stage.always(collapse_batch(batch, keys, update, sequence), "batch")
     changes = source.select(
         *keys,
         F.struct(*[F.col(c) for c in update]).alias("change"),
@@ -53,7 +55,8 @@ def upsert(table: DataFrame, batch: DataFrame, keys: Sequence[str],
         if c in update else F.col(c)
         for c in table.columns
     ])
-    known = table.select(*keys).join(source.select(*keys), list(keys), "left_semi")
+    known = stage.always(
+        table.select(*keys).join(source.select(*keys), list(keys), "left_semi"), "known")
     fresh = source.join(known, list(keys), "left_anti")
     return changed.unionByName(fresh, allowMissingColumns=True).select(*table.columns)
 
@@ -71,27 +74,29 @@ def update_where(df: DataFrame, predicate: Column, values: Mapping[str, Column])
     ])
 
 
-def assign_ids(stored: DataFrame, start: int = 1, name: str = "id") -> DataFrame:
+def assign_ids(stored: DataFrame, start: int = 1, name: str = "id", stage=LAZY) -> DataFrame:
     """Number the rows of a stored Parquet table ``start``, ``start + 1``, ...
 
     Rows are numbered file by file from their position in the file, which every
-    retry sees alike. Only one count per file reaches the driver, no more than
-    the file listing it already holds; rows are not shuffled or sorted.
+    retry sees alike. A file's offset is a prefix sum of the counts in two steps:
+    inside each of ``FILE_GROUPS`` groups of files, and over the groups. Nothing
+    reaches the driver and rows are not sorted; a stage given writes the offsets,
+    one row for each file, so that the join knows their size.
     """
     located = stored.select("*", F.col("_metadata.file_path").alias("_file"),
                             F.col("_metadata.row_index").alias("_position"))
-    sizes = sorted((r["_file"], r["n"]) for r in
-                   located.groupBy("_file").agg(F.count("*").alias("n")).collect())
-    offsets, total = [], start
-    for file, count in sizes:
-        offsets.append((file, total))
-        total += count
-    table = stored.sparkSession.createDataFrame(
-        offsets, T.StructType([T.StructField("_file", T.StringType()),
-                               T.StructField("_offset", T.LongType())]))
-    if len(offsets) <= BROADCAST_FILES:
-        table = F.broadcast(table)
-    return located.join(table, "_file").select(
+    sizes = (located.groupBy("_file").agg(F.count("*").alias("n"))
+             .withColumn("_group", F.pmod(F.xxhash64("_file"), F.lit(FILE_GROUPS))))
+    before = lambda w: F.coalesce(F.sum("n").over(
+        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = sizes.withColumn("_inside", before(Window.partitionBy("_group").orderBy("_file")))
+    # One row for each group, whatever the number of files.
+    groups = (sizes.groupBy("_group").agg(F.sum("n").alias("n"))
+              .select("_group", before(Window.orderBy("_group")).alias("_before")))
+    offsets = stage.always(
+        inside.join(groups, "_group")
+        .select("_file", (F.col("_before") + F.col("_inside") + start).alias("_offset")), "offsets")
+    return located.join(offsets, "_file").select(
         (F.col("_offset") + F.col("_position")).alias(name),
         *[c for c in stored.columns if c != name])
 

@@ -14,10 +14,12 @@ FLOWS = ("income", "expenses", "aport", "deport", "transf_in", "transf_out")
 
 
 def latest_balances(balances: DataFrame) -> DataFrame:
-    """account, currency, calendar_date, balance of the newest snapshot."""
-    newest = balances.agg(F.max("calendar_date").alias("calendar_date"))
-    # A global maximum is one row whatever the size of the table.
-    return (balances.join(F.broadcast(newest), "calendar_date", "left_semi")
+    """account, currency, calendar_date, balance of the newest snapshot.
+
+    The date is a scalar subquery, which a table partitioned by date is pruned with.
+    """
+    newest = balances.agg(F.max("calendar_date")).scalar()
+    return (balances.filter(F.col("calendar_date") == newest)
             .select("account", "currency", "calendar_date", F.col("amount").alias("balance")))
 
 

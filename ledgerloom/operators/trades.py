@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates
 from ledgerloom.functions.values import is_one_of, ratio
 from ledgerloom.settings import PURCHASE, LedgerSettings
-from ledgerloom.sources.scratch import fits_broadcast, staging
+from ledgerloom.sources.scratch import LAZY
 
 
 def rate_book(rates: DataFrame, settings: LedgerSettings = LedgerSettings()) -> DataFrame:
@@ -35,14 +35,16 @@ def rate_book(rates: DataFrame, settings: LedgerSettings = LedgerSettings()) ->
 
 
 def rate_lookups(exchanges: DataFrame, rates: DataFrame,
-                 settings: LedgerSettings = LedgerSettings(), stage=None) -> DataFrame:
+                 settings: LedgerSettings = LedgerSettings(), stage=LAZY) -> DataFrame:
     """Counted trades with the rates of both legs at the month's start and end.
 
     One row per trade and reporting currency in which its ticker has a rate row
     that month; a trade whose ticker has none keeps one row without rates. The
     rows multiply only after both lookups, so no copy is ever shuffled.
+
+    Trades are paid in far fewer instruments than are traded, so the book of the
+    other leg is cut to those. A stage given writes both books.
     """
-    stage = staging(exchanges, stage)
     date = F.col("calendar_date")
     trades = exchanges.filter("count_to_balance").select(
         "calendar_date", dates.month_start(date).alias("calendar_month"),
@@ -51,13 +53,10 @@ def rate_lookups(exchanges: DataFrame, rates: DataFrame,
         .otherwise(-F.col("units")).alias("units"),
         F.col("price").alias("original_trade_price"))
 
-    book = stage.if_uncertain(rate_book(rates, settings), "rate_book")
-    counter = book.withColumnRenamed("ticker", "currency")
-    if not fits_broadcast(book):
-        # Trades are paid in far fewer instruments than are traded.
-        paid_in = stage.if_uncertain(trades.select("currency").distinct(), "paid_in")
-        counter = stage.if_uncertain(counter.join(paid_in, "currency", "left_semi"),
-                                     "counter_book")
+    book = stage.always(rate_book(rates, settings), "rate_book")
+    paid_in = trades.select("currency").distinct()
+    counter = stage.always(book.withColumnRenamed("ticker", "currency")
+                           .join(paid_in, "currency", "left_semi"), "counter_book")
     rename = {f"{n}_{i}": f"c_{n}_{i}"
               for i in range(len(settings.targets)) for n in ("eom", "som", "listed")}
     counter = counter.withColumnsRenamed(rename)
@@ -132,5 +131,5 @@ def gains(estimates: DataFrame) -> DataFrame:
 
 
 def trade_income(exchanges: DataFrame, rates: DataFrame,
-                 settings: LedgerSettings = LedgerSettings(), stage=None) -> DataFrame:
+                 settings: LedgerSettings = LedgerSettings(), stage=LAZY) -> DataFrame:
     return gains(price_estimates(rate_lookups(exchanges, rates, settings, stage), settings))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.operators import fx, mapping, positions, reconcile, reports, trades
 from ledgerloom.settings import LedgerSettings
-from ledgerloom.sources.scratch import staging
+from ledgerloom.sources.scratch import Stage
 
 VIEWS = ("exchange_rates", "full_category_mapping", "positions", "trade_income")
 
@@ -27,28 +27,30 @@ class LedgerTables:
 class Ledger:
     """Derived frames of a ledger, each built once per instance.
 
-    The frames named in ``shared``, those that several actions read, are written
-    once to the shared folder, and so are rates too large to be known as
-    broadcastable; the rest stays lazy (all of it with the stage ``LAZY``).
-    Within one action Spark computes a frame's exchange once however often the
-    plan reads it.
+    Lookups (conversion book, rates, rate books) and the frames named in
+    ``shared``, those that several actions read, are written once to the stage,
+    whatever their size; the rest stays lazy (all of it with the stage ``LAZY``).
+    A ledger without a stage makes its own, which ``close`` discards. Within one
+    action Spark computes a frame's exchange once however often the plan reads it.
     """
 
     def __init__(self, tables: LedgerTables, settings: LedgerSettings = LedgerSettings(),
                  stage=None, shared: tuple[str, ...] = ()):
         self.tables = tables
         self.settings = settings
-        self.stage = staging(tables.prices, stage)
+        self.owned = stage is None
+        self.stage = Stage(tables.prices.sparkSession) if self.owned else stage
         self.shared = shared
 
-    def _share(self, df: DataFrame, name: str) -> DataFrame:
-        keep = self.stage.always if name in self.shared else self.stage.if_uncertain
-        return keep(df, name)
+    def close(self) -> None:
+        """Delete what an own stage wrote; nothing may read the ledger's frames after."""
+        if self.owned:
+            self.stage.discard()
 
     @cached_property
     def exchange_rates(self) -> DataFrame:
         rates = fx.exchange_rates(self.tables.prices, self.settings.targets, self.stage)
-        return self._share(rates, "exchange_rates")
+        return self.stage.always(rates, "exchange_rates")
 
     @cached_property
     def full_category_mapping(self) -> DataFrame:

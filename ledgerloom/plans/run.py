@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from enum import Enum
+from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
@@ -28,6 +30,9 @@ TARGET = {
 # Loaded on top of what the table holds; every other extract starts it afresh.
 ADDITIVE = {"expenses", "adjustments", "transfers", "transactions"}
 WITH_IDS = {"transactions", "exchanges", "transfers"}
+# Fixes booked by settlements, kept so that the next run loads them with the expenses.
+FIXES = "booked_fixes"
+FIX_SCHEMA = schemas.without(schemas.TRANSACTIONS, "id")
 # The latest snapshot of balances is then found by partition, not by scan.
 PARTITIONS = {"balances": ("calendar_date",)}
 
@@ -95,20 +100,52 @@ def reject_violations(table: str, rows: DataFrame) -> None:
             raise ValueError(f"repeated key: {repeated.asDict()}")
 
 
-def load(tables: SnapshotTables, dataset: str, path: str, stage) -> None:
-    """Load one extract: it replaces its table or, where two share one, adds to it.
+def checked_rows(tables: SnapshotTables, dataset: str, path: str, stage) -> DataFrame:
+    """An extract's rows, written to the stage and free of violations."""
+    rows = stage.always(prepare(tables.spark, dataset, path), f"load_{dataset}")
+    reject_violations(TARGET[dataset], rows)
+    return rows
+
+
+def kept_fixes(tables: SnapshotTables, loaded: DataFrame) -> DataFrame | None:
+    """Fixes that earlier settlements booked and that ``loaded`` does not hold already."""
+    if tables.current(FIXES) is None:
+        return None
+    fixes = tables.read(FIXES, FIX_SCHEMA)
+    same = [fixes[c].eqNullSafe(loaded[c]) for c in FIX_SCHEMA.names]
+    return fixes.join(loaded, same, "left_anti")
+
 
+def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[str, str] | str,
+         stage) -> None:
+    """Load extracts of one table as one change: all of them or none.
+
+    The table is replaced, or added to where the first extract is an additive one.
     Rows are checked before anything is published. Ids are assigned from 1, or
-    on from the table's highest, so they need no check.
+    on from the table's highest, so they need no check. Fixes that were booked
+    on the expenses stay booked when the transactions are loaded afresh.
     """
-    table = TARGET[dataset]
-    rows = stage.always(prepare(tables.spark, dataset, path), f"load_{dataset}")
-    reject_violations(table, rows)
-    adds = dataset in ADDITIVE and tables.current(table) is not None
+    if isinstance(datasets, str):
+        datasets, paths = [datasets], {datasets: paths}
+    table = TARGET[datasets[0]]
+    adds = datasets[0] in ADDITIVE and tables.current(table) is not None
+    parts = []
+    for dataset in datasets:
+        try:
+            parts.append(checked_rows(tables, dataset, paths[dataset], stage))
+        except Exception as error:
+            raise LoadError(f"loading {dataset} failed: {error}") from error
+    if "expenses" in datasets:
+        fixes = kept_fixes(tables, parts[-1])
+        if fixes is not None:
+            parts.append(stage.always(fixes, "fixes"))
     if table in WITH_IDS:
         start = _next_id(tables.read(table, schemas.TABLES[table])) if adds else 1
-        rows = maintenance.assign_ids(rows, start)
-    rows = rows.select(*schemas.TABLES[table].names)
+        for k, rows in enumerate(parts):
+            parts[k] = maintenance.assign_ids(rows, start, stage=stage)
+            start += rows.count()
+    names = schemas.TABLES[table].names
+    rows = reduce(DataFrame.unionByName, [part.select(*names) for part in parts])
     if adds:
         tables.append(table, rows)
     else:
@@ -117,12 +154,40 @@ def load(tables: SnapshotTables, dataset: str, path: str, stage) -> None:
 
 def load_all(tables: SnapshotTables, files: LedgerFiles, stage,
              order: Sequence[str] = LOAD_ORDER) -> None:
-    """Load extracts in order and stop at the first that fails."""
-    for dataset in order:
+    """Load extracts in order and stop at the first that fails.
+
+    Neighbours that share a table are one change, so no half of it is ever seen.
+    """
+    for table, group in groupby(order, key=TARGET.get):
+        datasets = list(group)
         try:
-            load(tables, dataset, files.extracts[dataset], stage)
+            load(tables, datasets, files.extracts, stage)
+        except LoadError:
+            raise
         except Exception as error:
-            raise LoadError(f"loading {dataset} failed: {error}") from error
+            raise LoadError(f"loading {table} failed: {error}") from error
+
+
+def upsert_into(tables: SnapshotTables, table: str, batch: DataFrame, update: Sequence[str],
+                stage, sequence: Sequence[str] = ()) -> None:
+    """Publish a table with ``batch`` upserted by its primary key."""
+    current = tables.read(table, schemas.TABLES[table])
+    rows = maintenance.upsert(current, batch, schemas.PRIMARY_KEYS[table], update, sequence, stage)
+    tables.publish(table, rows, PARTITIONS.get(table, ()))
+
+
+def delete_from(tables: SnapshotTables, table: str, predicate: Column) -> None:
+    """Publish a table without the rows for which the predicate is true."""
+    current = tables.read(table, schemas.TABLES[table])
+    tables.publish(table, maintenance.delete_where(current, predicate), PARTITIONS.get(table, ()))
+
+
+def update_table(tables: SnapshotTables, table: str, predicate: Column,
+                 values: Mapping[str, Column]) -> None:
+    """Publish a table with columns set where the predicate is true."""
+    current = tables.read(table, schemas.TABLES[table])
+    tables.publish(table, maintenance.update_where(current, predicate, values),
+                   PARTITIONS.get(table, ()))
 
 
 def open_tables(tables: SnapshotTables) -> LedgerTables:
@@ -147,7 +212,8 @@ def settle(tables: SnapshotTables, settings: LedgerSettings, stage,
     checked = ledger.reconciliation_after(booked)
     if not reconcile.validation_report(checked, settings).isEmpty():
         return Outcome.ROLLED_BACK
-    numbered = maintenance.assign_ids(booked, _next_id(ledger.tables.transactions))
+    numbered = maintenance.assign_ids(booked, _next_id(ledger.tables.transactions), stage=stage)
+    tables.append(FIXES, booked.select(*FIX_SCHEMA.names))
     tables.append("transactions", numbered.select(*schemas.TRANSACTIONS.names))
     if adjusted_csv:
         export_expenses(tables, adjusted_csv)
@@ -167,8 +233,11 @@ def export_expenses(tables: SnapshotTables, path: str) -> None:
 def publish_reports(tables: SnapshotTables, folder: str, settings: LedgerSettings,
                     stage=None) -> None:
     ledger = Ledger(open_tables(tables), settings, stage, ("exchange_rates", "positions"))
-    csv_files.write_csv(ledger.balance, f"{folder}/balance.csv")
-    csv_files.write_csv(ledger.allocation, f"{folder}/positions.csv")
+    try:
+        csv_files.write_csv(ledger.balance, f"{folder}/balance.csv")
+        csv_files.write_csv(ledger.allocation, f"{folder}/positions.csv")
+    finally:
+        ledger.close()
 
 
 def run(tables: SnapshotTables, files: LedgerFiles, stage,

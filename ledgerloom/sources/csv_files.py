@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import schemas
 from ledgerloom.functions import dates
+from ledgerloom.functions.values import sanitize
 
 # Texts the usual CSV reader takes for a missing value.
 MISSING = (
@@ -32,25 +36,62 @@ EXTRACTS = {
 }
 
 
-def read_text(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``path`` (a file or a folder of part files) by their header.
+
+    Only each file's first line is read.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found: dict[tuple[str, ...], list[str]] = {}
+    for status in fs.listStatus(root):
+        file = status.getPath()
+        if not status.isFile() or file.getName().startswith(("_", ".")):
+            continue
+        stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(file), "UTF-8"))
+        try:
+            line = stream.readLine()
+        finally:
+            stream.close()
+        names = next(csv.reader([line.removeprefix("\ufeff")])) if line else []
+        found.setdefault(tuple(names), []).append(file.toString())
+    return {names: sorted(files) for names, files in found.items() if names}
+
+
+def read_text(spark: SparkSession, path: str, position: str | None = None,
+              required: tuple[str, ...] = ()) -> DataFrame:
     """Every column as text under its lower-cased header name, missing as NULL.
 
-    Columns go by name, so their order in a file is free. Only the header line
-    is read to find them; nothing is inferred from the data. ``position`` names
-    a further column that orders the rows as the files do.
+    Columns go by name in every file: files with one header are read together,
+    and a column that a file lacks is NULL there unless it is ``required``, which
+    is an error that names the file. Nothing is inferred from the data. Quoted
+    line breaks are not supported. ``position`` names a further column that
+    orders the rows as the files do.
     """
-    raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-           .option("escape", '"').option("multiLine", False).csv(path))
-    columns = [
-        F.when(~F.col(f"`{name}`").isin(*MISSING), F.col(f"`{name}`")).alias(name.strip().lower())
-        for name in raw.columns
-    ]
-    if position:
-        # Lines of one block of a file are read in order by one task.
-        columns.append(F.struct(
-            F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-            F.monotonically_increasing_id().alias("line")).alias(position))
-    return raw.select(*columns)
+    frames = []
+    for names, files in sorted(headers(spark, path).items()):
+        lowered = [name.strip().lower() for name in names]
+        lacking = [c for c in required if c not in lowered]
+        if lacking:
+            raise ValueError(f"{files[0]} lacks {', '.join(lacking)}")
+        raw = (spark.read.option("header", True).option("mode", "FAILFAST")
+               .option("enforceSchema", False).option("escape", '"').option("multiLine", False)
+               .schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+               .csv(files))
+        columns = [
+            F.when(~F.col(f"`{name}`").isin(*MISSING), F.col(f"`{name}`")).alias(low)
+            for name, low in zip(names, lowered)
+        ]
+        if position:
+            # Lines of one block of a file are read in order by one task.
+            columns.append(F.struct(
+                F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                F.monotonically_increasing_id().alias("line")).alias(position))
+        frames.append(raw.select(*columns))
+    if not frames:
+        raise ValueError(f"no CSV file with a header under {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def typed(text: DataFrame, schema: T.StructType, day_first: bool,
@@ -63,19 +104,17 @@ def typed(text: DataFrame, schema: T.StructType, day_first: bool,
             column = dates.parse_day_first(column)
         elif isinstance(field.dataType, T.DateType):
             column = F.to_date(column)
-        elif isinstance(field.dataType, T.StringType):
-            column = F.regexp_replace(column, "'", "")
-        else:
+        elif not isinstance(field.dataType, T.StringType):
             column = column.cast(field.dataType)
         columns.append(column.alias(field.name))
-    return text.select(*columns, *keep)
+    return sanitize(text.select(*columns, *keep))
 
 
 def read_extract(spark: SparkSession, dataset: str, path: str,
                  position: str | None = None) -> DataFrame:
     """One of the ``EXTRACTS`` as a typed frame."""
     schema, day_first = EXTRACTS[dataset]
-    text = read_text(spark, path, position)
+    text = read_text(spark, path, position, tuple(n.lower() for n in schema.names))
     return typed(text, schema, day_first, (position,) if position else ())
 
 

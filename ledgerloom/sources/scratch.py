@@ -32,22 +32,6 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a plan (file sizes for a plain scan)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes())
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's estimate is within the session's broadcast threshold."""
-    return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
-
-
 class Stage:
     """Writes intermediate results to the shared folder and reads them back.
 
@@ -67,14 +51,6 @@ class Stage:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def if_uncertain(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` only where its estimate alone would rule out a broadcast.
-
-        For lookups that are small in fact but come out of a large scan. Below
-        the threshold the estimate already leads to a broadcast.
-        """
-        return df if fits_broadcast(df) else self.always(df, name)
-
     def discard(self) -> None:
         """Delete what this stage wrote, once nothing reads it any more."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
@@ -92,13 +68,8 @@ class NoStage:
     def always(self, df: DataFrame, name: str) -> DataFrame:
         return df
 
-    def if_uncertain(self, df: DataFrame, name: str) -> DataFrame:
-        return df
+    def discard(self) -> None:
+        pass
 
 
 LAZY = NoStage()
-
-
-def staging(df: DataFrame, stage: Stage | NoStage | None) -> Stage | NoStage:
-    """The given stage, or one in the shared folder of the frame's session."""
-    return stage or Stage(df.sparkSession)

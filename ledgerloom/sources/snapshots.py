@@ -75,6 +75,9 @@ class SnapshotTables:
 
     @staticmethod
     def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+        if partition_by:
+            # Rows of a partition meet in one task, or in several where they are many.
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

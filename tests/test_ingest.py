@@ -108,3 +108,26 @@ def test_calendar_steps(make, date, following, month_after, month_before):
 def test_day_first_export(make):
     df = make.frame([(day("2023-03-01"),)], "d date")
     assert df.select(dates.format_day_first(F.col("d"))).first()[0] == "01/03/2023"
+
+
+def test_each_file_goes_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "balances"
+    folder.mkdir()
+    (folder / "a.csv").write_text("account,calendar_date,currency,amount\nA,31/1/2023,USD,1\n")
+    (folder / "b.csv").write_text("Currency,Calendar_Date,Account,Amount\nBRL,28/2/2023,B,2\n")
+    got = csv_files.read_extract(spark, "balances", str(folder))
+    assert sorted((r["account"], r["currency"], r["amount"]) for r in got.collect()) == [
+        ("A", "USD", 1.0), ("B", "BRL", 2.0)]
+    (folder / "c.csv").write_text("account,currency,amount\nC,EUR,3\n")
+    with pytest.raises(ValueError, match="c.csv lacks calendar_date"):
+        csv_files.read_extract(spark, "balances", str(folder))
+
+
+def test_price_files_of_different_months(spark, tmp_path):
+    folder = tmp_path / "prices"
+    folder.mkdir()
+    (folder / "1.csv").write_text("Ticker,Currency,31/01/2023\nX,USD,1\n")
+    (folder / "2.csv").write_text("Ticker,Currency,28/02/2023\nX,USD,2\n")
+    got = ingest.unpivot_prices(csv_files.read_text(spark, str(folder)))
+    assert sorted((str(r["calendar_date"]), r["price"]) for r in got.collect()) == [
+        ("2023-01-31", 1.0), ("2023-02-28", 2.0)]

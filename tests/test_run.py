@@ -90,6 +90,34 @@ def test_small_differences_are_booked(start, spark):
     assert runs.settle(tables, LedgerSettings(), stage) is runs.Outcome.VALID
 
 
+def test_a_booked_fix_is_there_at_the_next_run(start):
+    tables, files, stage = start("A,31/1/2023,USD,52.5", "B,31/1/2023,USD,7")
+    assert runs.run(tables, files, stage) is runs.Outcome.ADJUSTED
+    booked = [r[1:] for r in ledger_rows(tables)]
+    assert runs.run(tables, files, stage) is runs.Outcome.VALID
+    assert sorted(r[1:] for r in ledger_rows(tables)) == sorted(booked)
+    assert sorted(r[0] for r in ledger_rows(tables)) == [1, 2, 3, 4]
+
+
+def test_transactions_are_published_whole(start):
+    tables, files, stage = start("A,31/1/2023,USD,50")
+    runs.load_all(tables, files, stage)
+    broken = runs.LedgerFiles({**files.extracts, "expenses": "/nowhere.csv"}, files.reports)
+    with pytest.raises(runs.LoadError, match="expenses"):
+        runs.load_all(tables, broken, stage)
+    assert ledger_rows(tables) == [PAY, SHOP]
+
+
+def test_changes_are_published(start, spark):
+    tables, files, stage = start("A,31/1/2023,USD,50", "B,31/1/2023,USD,10")
+    runs.load_all(tables, files, stage)
+    batch = tables.read("balances").filter("account = 'A'").withColumn("amount", F.lit(1.0))
+    runs.upsert_into(tables, "balances", batch, ["amount"], stage)
+    runs.delete_from(tables, "balances", F.col("account") == "B")
+    runs.update_table(tables, "balances", F.col("amount") == 1, {"amount": F.lit(2.0)})
+    assert [(r["account"], r["amount"]) for r in tables.read("balances").collect()] == [("A", 2.0)]
+
+
 def test_large_differences_are_left_alone(start):
     tables, files, stage = start("A,31/1/2023,USD,90")
     assert runs.run(tables, files, stage) is runs.Outcome.MAJOR_DISCREPANCIES

@@ -2,8 +2,12 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+import os
+
 import pytest
 
+from ledgerloom.operators import fx, maintenance, trades
+from ledgerloom.plans.ledger import Ledger, LedgerTables
 from ledgerloom.sources import scratch
 
 
@@ -29,11 +33,24 @@ def test_only_a_local_session_gets_a_temporary_folder():
         scratch.shared_folder(session("spark://cluster"))
 
 
-def test_only_lookups_of_uncertain_size_are_written(spark, tmp_path):
-    stage = scratch.Stage(spark, str(tmp_path / "stage"))
-    small = spark.range(10)
-    assert stage.if_uncertain(small, "small") is small
-    # Eighty megabytes by estimate, three rows in fact.
-    large = spark.range(10**7).selectExpr("id % 3 as k").distinct()
-    kept = stage.if_uncertain(large, "large")
-    assert kept is not large and kept.count() == 3
+def test_building_operators_starts_no_job(spark, make):
+    """Without a stage an operator is a plan and nothing else."""
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup(None))
+    prices = make.prices(("X", "USD", "2023-01-31", 1), ("USD", "BRL", "2023-01-31", 5))
+    rates = fx.exchange_rates(prices)
+    trades.trade_income(make.exchanges(), rates)
+    maintenance.upsert(prices, prices, ["ticker", "currency", "calendar_date"], ["price"])
+    assert len(status.getJobIdsForGroup(None)) == before
+
+
+def test_a_ledger_discards_its_own_stage(spark, make, tmp_path):
+    prices = make.prices(("X", "USD", "2023-01-31", 1))
+    tables = LedgerTables(make.transactions(), make.exchanges(), make.transfers(), prices,
+                          make.balances(), make.mapping())
+    ledger = Ledger(tables)
+    assert ledger.exchange_rates.count() == 2
+    folder = ledger.stage.folder.removeprefix("file:")
+    assert os.path.isdir(folder)
+    ledger.close()
+    assert not os.path.exists(folder)

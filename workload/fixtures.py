@@ -7,6 +7,8 @@ the names of the registered tables and of the CTEs before it.
 
 from __future__ import annotations
 
+import atexit
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.plans.ledger import LedgerTables
@@ -80,6 +82,23 @@ VIEWS = {
 LOADED = ("prices", "balances", "category_mapping")
 
 _known: dict[tuple[str, str, str], DataFrame] = {}
+_stages: dict[str, Stage] = {}
+
+
+def session_stage(spark: SparkSession) -> Stage:
+    """The stage of all queries of a session, discarded when the process ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _stages:
+        _stages[app] = Stage(spark)
+        atexit.register(_discard, app)
+    return _stages[app]
+
+
+def _discard(app: str) -> None:
+    try:
+        _stages.pop(app).discard()
+    except Exception:  # the session has ended: its folder is the cluster's to clear
+        pass
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,7 +121,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         text = VIEWS[name]
         inputs = {n: view(spark, sf_dir, n) for n in (*SOURCES, *VIEWS) if "{" + n + "}" in text}
         df = spark.sql(text, **inputs)
-        _known[key] = Stage(spark).always(df, name) if name in LOADED else df
+        _known[key] = session_stage(spark).always(df, name) if name in LOADED else df
     return _known[key]
 
 

@@ -7,6 +7,7 @@ show; everything else is returned as computed.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -21,8 +22,7 @@ from ledgerloom.operators import (
 from ledgerloom.plans.ledger import Ledger
 from ledgerloom.settings import EXPENSES, INCOME, LedgerSettings
 from ledgerloom.sources import csv_files
-from ledgerloom.sources.scratch import Stage
-from workload.fixtures import ledger_tables, source, view
+from workload.fixtures import ledger_tables, session_stage, source, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,14 +51,14 @@ def rounded(digits: int, *columns: str) -> Callable[[Query], Query]:
 
 
 def ledger(spark: SparkSession, sf_dir: str, *shared: str) -> Ledger:
-    return Ledger(ledger_tables(spark, sf_dir), SETTINGS, Stage(spark), shared)
+    return Ledger(ledger_tables(spark, sf_dir), SETTINGS, session_stage(spark), shared)
 
 
 # --- exchange rates -----------------------------------------------------------
 
 @query
 def exchange_rates(spark, sf_dir):
-    return fx.exchange_rates(view(spark, sf_dir, "prices"), stage=Stage(spark))
+    return fx.exchange_rates(view(spark, sf_dir, "prices"), stage=session_stage(spark))
 
 
 @query
@@ -68,12 +68,12 @@ def fx_grid(spark, sf_dir):
 
 @query
 def fx_conversions(spark, sf_dir):
-    return fx.conversions(view(spark, sf_dir, "prices"), stage=Stage(spark))
+    return fx.conversions(view(spark, sf_dir, "prices"), stage=session_stage(spark))
 
 
 @query
 def fx_consolidation(spark, sf_dir):
-    return fx.consolidation(view(spark, sf_dir, "prices"), stage=Stage(spark))
+    return fx.consolidation(view(spark, sf_dir, "prices"), stage=session_stage(spark))
 
 
 # --- mapping, positions, allocation -------------------------------------------
@@ -244,14 +244,16 @@ def price_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All prices with one column per day-first date, missing ones NULL."""
     prices = view(spark, sf_dir, "prices").withColumn(
         "day", dates.format_day_first(F.col("calendar_date")))
-    return prices.groupBy("ticker", "currency").pivot("day").agg(F.max("price"))
+    # A report has a column for each month, so their number is that of the months.
+    days = [r["day"] for r in prices.select("day").distinct().orderBy("day").collect()]
+    return prices.groupBy("ticker", "currency").pivot("day", days).agg(F.max("price"))
 
 
 @query
 def ingest_csv_roundtrip(spark, sf_dir):
     extract = view(spark, sf_dir, "exchanges").drop("id").withColumn(
         "calendar_date", dates.format_day_first(F.col("calendar_date")))
-    path = Stage(spark).folder + "/exchange.csv"
+    path = f"{session_stage(spark).folder}/exchange-{uuid.uuid4().hex[:8]}.csv"
     csv_files.write_csv(extract, path)
     return csv_files.read_extract(spark, "exchange", path)
 
@@ -348,7 +350,8 @@ def upsert_balances(spark, sf_dir):
     return maintenance.upsert(
         view(spark, sf_dir, "balances"), batch.select("account", "calendar_date", "currency",
                                                       "amount", "line"),
-        ["account", "calendar_date", "currency"], ["amount"], sequence=["line"])
+        ["account", "calendar_date", "currency"], ["amount"], sequence=["line"],
+        stage=session_stage(spark))
 
 
 @query
@@ -359,7 +362,8 @@ def upsert_from_select(spark, sf_dir):
     table = customers.filter(F.col("c_acctbal") >= 0)
     batch = (customers.filter(F.col("c_acctbal") < 5000)
              .withColumns({"c_name": F.upper("c_name"), "c_acctbal": F.col("c_acctbal") * 2}))
-    return maintenance.upsert(table, batch, ["c_custkey"], ["c_acctbal"])
+    return maintenance.upsert(table, batch, ["c_custkey"], ["c_acctbal"],
+                              stage=session_stage(spark))
 
 
 @query
@@ -377,8 +381,8 @@ def update_where(spark, sf_dir):
 @query
 def surrogate_id(spark, sf_dir):
     """Ids are arbitrary, so what must hold of them is shown instead."""
-    stored = Stage(spark).always(view(spark, sf_dir, "transactions").drop("id"), "numbered")
-    return maintenance.assign_ids(stored).agg(
+    stored = session_stage(spark).always(view(spark, sf_dir, "transactions").drop("id"), "numbered")
+    return maintenance.assign_ids(stored, stage=session_stage(spark)).agg(
         F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"),
         F.sum("id").alias("id_sum"), F.count_distinct("id").alias("n_ids"))
 
