@@ -335,6 +335,9 @@ ORACLES: dict[str, str] = {
         union all
         select calendar_month, category, subcategory, currency, null, {rnd('-expenses')}
         from converted_expenses where expenses is not null"""),
+    "view_query": sql(REPORT, (RATES, BONDS), """
+        select r.ticker, r.currency, calendar_month, price, category, subcategory
+        from rates r left join mapping m on m.currency = r.ticker"""),
     # reconciliation
     "latest_balances": sql(("balances",), (NEWEST,), "select * from newest"),
     "cash_in_out": sql(("transactions",), (), f"""
@@ -461,3 +464,7 @@ ORACLES["check_not_null"] = sql(("prices",), (), """
     from prices cross join (select count(*) as total
                             from (select distinct ticker, currency from prices))
     group by calendar_date, total having count(*) < total""")
+
+# Written and read back, the rows are the same.
+ORACLES["report_csv_roundtrip"] = ORACLES["balance_report"]
+ORACLES["ingest_csv_mixed_headers"] = ORACLES["ingest_csv_roundtrip"]

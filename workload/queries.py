@@ -176,6 +176,24 @@ def balance_report(spark, sf_dir):
     return ledger(spark, sf_dir, "exchange_rates").balance
 
 
+@query
+def report_csv_roundtrip(spark, sf_dir):
+    """The balance sheet, written as a report and read back."""
+    report = balance_report(spark, sf_dir)
+    path = f"{session_stage(spark).folder}/balance-{uuid.uuid4().hex[:8]}.csv"
+    csv_files.write_csv(report, path)
+    return csv_files.typed(csv_files.read_text(spark, path), report.schema, day_first=False)
+
+
+@query
+def view_query(spark, sf_dir):
+    """Categories of all rates, by SQL over the registered views."""
+    ledger(spark, sf_dir, "exchange_rates").register_views("ledger_")
+    return spark.sql("""
+        select r.ticker, r.currency, r.calendar_month, r.price, m.category, m.subcategory
+        from ledger_exchange_rates r left join ledger_full_category_mapping m on m.currency = r.ticker""")
+
+
 # --- reconciliation -----------------------------------------------------------
 
 @query
@@ -258,6 +276,18 @@ def ingest_csv_roundtrip(spark, sf_dir):
     return csv_files.read_extract(spark, "exchange", path)
 
 
+@query
+def ingest_csv_mixed_headers(spark, sf_dir):
+    """Purchases and sales in one folder, the columns of the sales the other way round."""
+    extract = view(spark, sf_dir, "exchanges").drop("id").withColumn(
+        "calendar_date", dates.format_day_first(F.col("calendar_date")))
+    path = f"{session_stage(spark).folder}/mixed-{uuid.uuid4().hex[:8]}.csv"
+    for kind, columns in (("Purchase", extract.columns), ("Sale", extract.columns[::-1])):
+        (extract.filter(F.col("exchange_type") == kind).select(*columns)
+         .write.mode("append").option("header", True).option("escape", '"').csv(path))
+    return csv_files.read_extract(spark, "exchange", path)
+
+
 @query
 def price_unpivot(spark, sf_dir):
     return ingest.unpivot_prices(price_matrix(spark, sf_dir))
