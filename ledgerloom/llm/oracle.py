@@ -2,4 +2,133 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from ledgerloom.llm.queries import URL_RULES
+
+# Every word with its place; a window of eight words is told by its words joined by a space.
+OP1 = r"""
+with texts as (
+  select row_number() over () as k, doc_id, coalesce(text, '') as text from documents
+), split as (
+  select k, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from texts
+), placed as (
+  select k, unnest(words) as word, generate_subscripts(words, 1) as i from split
+), windows as (
+  select k, i, word, lag(word) over w as before,
+    case when lead(word, 7) over w is not null then concat_ws(' ', word, lead(word, 1) over w,
+      lead(word, 2) over w, lead(word, 3) over w, lead(word, 4) over w, lead(word, 5) over w,
+      lead(word, 6) over w, lead(word, 7) over w) end as eight
+  from placed window w as (partition by k order by i)
+), counted as (
+  select k, i, word, before,
+    (eight is not null and count(*) over (partition by k, eight) > 1)::int as again
+  from windows
+), covered as (
+  select k, max(again) over (partition by k order by i rows between 7 preceding and current row) as inside,
+    (word = before)::int as stutter,
+    regexp_full_match(word, '[0-9.,;:!?#*$%&|<>()\[\]{}+\-=_/\\''"@^~`]*')::int as bare
+  from counted
+), sums as (
+  select k, sum(inside) as repeats, sum(stutter) as stutters, sum(bare) as bares from covered group by k
+), facts as (
+  select doc_id, len(words) as n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(repeats, 0)::bigint as n_repeat_words,
+    coalesce(stutters, 0) as stutters, coalesce(bares, 0) as bares, len(lines) as n_lines,
+    length(text) - length(regexp_replace(text, '[a-z]', '', 'g')) as small_letters,
+    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as capitals,
+    len(list_distinct(words)) as vocabulary,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*(-|\*|•)'))) as bullets,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) as cut
+  from split left join sums using (k)
+), judged as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from facts
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed
+    or n_symbols > 0.1::double * n_words
+    or (capitals > small_letters and capitals >= 20)
+    or word_chars < 2 * n_words or word_chars > 20 * n_words
+    or n_dup_lines > greatest(2, 0.3::double * n_lines)
+    or bares > 0.5::double * n_words
+    or bullets > 0.9::double * n_lines
+    or cut > 0.3::double * n_lines
+    or stutters > 0.2::double * n_words
+    or (n_words >= 50 and vocabulary < 0.05::double * pow(n_words, 0.9::double))) as kept
+from judged
+"""
+
+
+def url_host(url: str) -> str:
+    rest = f"case when strpos({url}, '://') > 0 then substr({url}, strpos({url}, '://') + 3) else '' end"
+    return (f"translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            "'abcdefghijklmnopqrstuvwxyz')")
+
+
+def url_path(url: str) -> str:
+    rest = f"case when strpos({url}, '://') > 0 then substr({url}, strpos({url}, '://') + 3) else '' end"
+    return f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
+
+
+def url_filter_sql(iterations: int = 8, damping: float = 0.85, least: float = 0.1) -> str:
+    """The verdict of every page: fitting rules, then ranks that pass along the links."""
+    rules = ", ".join(f"('{r.host}', '{r.path}', {str(r.allow).lower()})" for r in URL_RULES)
+    d = f"{damping}::double"
+    rounds = "".join(f""", ranks{k} as (
+  select host, sum(trust) as trust, sum(distrust) as distrust from (
+    select f.host, {d} * r.trust * f.trust_share as trust, {d} * r.distrust * f.distrust_share as distrust
+    from flows f join ranks{k - 1} r on f.at = r.host
+    union all select host, (1 - {d}) * trusted, (1 - {d}) * blocked from seeds) group by host
+)""" for k in range(1, iterations + 1))
+    return f"""
+with rules(rule_host, rule_path, allow) as (values {rules}
+), numbered as (
+  select row_number() over () as k, page_id, html, {url_host("coalesce(url, '')")} as host,
+    {url_path("coalesce(url, '')")} as path from pages
+), fitting as (
+  select k, arg_max(rule_host || rule_path, [length(rule_host), length(rule_path)]) as rule,
+    arg_max(allow, [length(rule_host), length(rule_path)]) as allow
+  from numbered join rules on (host = rule_host or ends_with(host, '.' || rule_host))
+    and starts_with(path, rule_path) group by k
+), split as (
+  select n.*, f.rule, f.allow from numbered n left join fitting f using (k)
+), targets as (
+  select host as src, unnest(regexp_extract_all(html,
+    '(?is)<a\\s[^>]*?href\\s*=\\s*["'']?((?:https?:)?//[^"''\\s>]+)', 1)) as target
+  from split where host <> ''
+), pairs as (
+  select src, {url_host("case when starts_with(target, '//') then 'http:' || target else target end")} as dst
+  from targets
+), links as (
+  select src, dst, count(*) as n from pairs where dst <> '' and src <> dst group by src, dst
+), flows as (
+  select src as at, dst as host, n / sum(n) over (partition by src) as trust_share, 0::double as distrust_share from links
+  union all
+  select dst, src, 0::double, n / sum(n) over (partition by dst) from links
+), hosts as (
+  select host, count(*) filter (allow) as allowed, count(*) filter (not allow) as blocked from split group by host
+), sums as (
+  select count(*) filter (allowed > blocked) as good, count(*) filter (blocked > allowed) as bad, count(*) as every
+  from hosts
+), seeds as (
+  select host, case when allowed > blocked then 1::double / good else 0 end as trusted,
+    case when blocked > allowed then 1::double / bad else 0 end as blocked
+  from hosts, sums where allowed <> blocked
+), ranks0 as (
+  select host, trusted as trust, blocked as distrust from seeds
+){rounds}, known as (
+  select r.host, r.trust - (1 - {d}) * coalesce(s.trusted, 0) as trust,
+    r.distrust - (1 - {d}) * coalesce(s.blocked, 0) as distrust
+  from ranks{iterations} r left join seeds s using (host)
+)
+select page_id, p.host, path, rule,
+  case when coalesce(allow, not coalesce(distrust >= {least}::double / every and distrust > trust, false))
+    then 'allow' else 'block' end as verdict
+from split p cross join sums left join known k on p.host = k.host
+"""
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1, "op3_url_filter": url_filter_sql()}
