@@ -7,7 +7,9 @@ looked for in windows of ``2^(k+1)`` shingles that start every ``2^k``, so that
 passage of an item's length lies whole inside one. Inside a class the containment
 threshold bounds the Jaccard similarity from below, and with it the number of
 hash functions after which a miss has probability ``miss``. Minima of small
-blocks are computed once and merged into the windows of every class.
+blocks are computed once and merged into the windows of every class. Items that
+mostly repeat themselves have too few distinct shingles for a minimum to show them;
+so many of those are looked up that a window without any falls short of the threshold.
 
 A window that shares a minimum with an item is compared with it shingle by
 shingle. ``containment`` is the largest share of an item's distinct shingles found
@@ -56,14 +58,22 @@ class SizeClass:
     """Items of one shingle length and one size class, with what probing them needs."""
     words: int                 # in a shingle
     level: int                 # windows of 2^(level + 1) shingles
-    ids: list
-    shingles: list[np.ndarray]
-    factors: np.ndarray | None = None  # odd multipliers of the hash functions
+    repetitive: bool           # less than a quarter of 2^level distinct shingles in any item
+    ids: list = field(default_factory=list)
+    shingles: list[np.ndarray] = field(default_factory=list)
+    factors: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # odd multipliers
     minima: list[np.ndarray] = field(default_factory=list)   # sorted, by hash function
     owners: list[np.ndarray] = field(default_factory=list)
     seen: np.ndarray | None = None  # by hash function and low bits: whether any item has them
 
     def build(self, threshold: float, miss: float) -> "SizeClass":
+        if self.repetitive:
+            chosen = [s[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1] for s in self.shingles]
+            found = np.concatenate(chosen)
+            order = np.argsort(found, kind="stable")
+            self.minima = [found[order]]
+            self.owners = [np.repeat(np.arange(len(chosen)), list(map(len, chosen)))[order]]
+            return self
         functions = hash_functions(min(map(len, self.shingles)), self.level, threshold, miss)
         self.factors = np.random.default_rng(7).integers(
             0, 2 ** 63, functions, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,10 +105,9 @@ def build_index(items: list[tuple], shingle: int, threshold: float, miss: float)
         size = min(shingle, len(words))
         found = np.unique(shingle_hashes(hashes.array(words), size))
         level = math.ceil(math.log2(len(words) - size + 1))
-        if (size, level) not in classes:
-            classes[size, level] = SizeClass(size, level, [], [])
-        classes[size, level].ids.append(item)
-        classes[size, level].shingles.append(found)
+        kind = (size, level, 4 * len(found) < 2 ** level)
+        classes.setdefault(kind, SizeClass(*kind)).ids.append(item)
+        classes[kind].shingles.append(found)
     return [c.build(threshold, miss) for _, c in sorted(classes.items())]
 
 
@@ -141,6 +150,17 @@ def window_hits(hashes: np.ndarray, doc: np.ndarray, lengths: np.ndarray, base:
                     for item in c.owners[k][a:b]:
                         at = (number, int(owner[place]), int(nth[place]))
                         hits.setdefault(at, set()).add(int(item))
+    for number, c in enumerate(classes):
+        if not c.repetitive:
+            continue
+        left = np.searchsorted(c.minima[0], hashes, "left")
+        right = np.searchsorted(c.minima[0], hashes, "right")
+        places = np.flatnonzero(right > left)
+        d = np.searchsorted(starts, places, "right") - 1
+        met = np.c_[left[places], right[places], d, (places - starts[d]) >> c.level]
+        for a, b, owner_at, nth in np.unique(met, axis=0).tolist():
+            for window in (nth - 1, nth) if nth else (nth,):
+                hits.setdefault((number, owner_at, window), set()).update(c.owners[0][a:b].tolist())
     for (number, d, nth), found in hits.items():
         c = classes[number]
         at = starts[d] + nth * 2 ** c.level

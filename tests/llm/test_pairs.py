@@ -118,6 +118,7 @@ def test_items_inside_long_documents(spark):
     items = [(k, " ".join(rng.choice(words) for _ in range(rng.choice([1, 3, 6, 20, 60, 200]))))
              for k in range(40)] + [(98, None), (99, " ...")]
     items += [(100, items[5][1]), (5, items[5][1])]
+    items += [(60, "rep " * 200), (61, "p q r s t u v " * 40), (62, "l1 l2 l3 " + "far " * 200 + "l4 l5 l6")]
     docs = []
     for k in range(60):
         text = [rng.choice(words) for _ in range(rng.randint(0, 900))]
@@ -128,9 +129,13 @@ def test_items_inside_long_documents(spark):
             text[at:at] = [w.upper() + "," for w in part]
         docs.append((k, "\n".join(text)))
     docs += [(200, None), (201, ""), (0, docs[0][1])]
+    for k, part in enumerate(["rep " * 30, "rep " * 2_000, "p q r s t u v " * 3, "far " * 300, items[-1][1],
+                              items[-1][1][:-9], "p q r s t u"]):
+        around = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 700))) for _ in range(2)]
+        docs.append((210 + k, f"{around[0]} {part} {around[1]}"))
     got = decontaminate.contamination(
         documents(spark, docs), spark.createDataFrame(items, "item_id int, text string"),
-        block_chars=2000)
+        block_chars=6000)
     got = sorted((r.id, r.item, round(r.containment, 9)) for r in got.collect())
     want = []
     for i, text in docs:
