@@ -28,7 +28,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.frames import byte_words, narrow, written
@@ -301,20 +301,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return NearDuplicates(fps.join(named, "fp").select("id", "fp", "component"), parts)
 
 
+def fingerprint_column(text: Column, shingle: int = 3, seed: int = 42) -> Column:
+    """The fingerprint of a text, its unsigned bits as a bigint."""
+    @F.pandas_udf("bigint")
+    def run(texts: pd.Series) -> pd.Series:
+        fps = np.array([fingerprint(t, shingle, seed) for t in texts], dtype=np.uint64)
+        return pd.Series(fps.view(np.int64))
+
+    return run(F.coalesce(text, F.lit("")))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              limit: int = 3) -> DataFrame:
     """``docs`` with one document, the one with the smallest id, of each component.
 
-    Rows with a null id belong to no group that ids could name and stay. Rows that
-    repeat the id of a kept document count as copies of it: one of them stays.
+    Rows with a null id belong to no group that ids could name and stay. Of the rows
+    that share an id, one whose own component bears that id stays, if there is any;
+    the others go.
     """
     rows = near_duplicates(docs, id_col, text_col, limit).rows
+    leads = F.col("id") == F.col("component")
     named = F.col(id_col) == F.col("__id")
-    gone = written(rows.where(F.col("id") != F.col("component"))
-                   .select(F.col("id").alias("__id")).distinct(), "simhash-gone")
-    twice = written(rows.where(F.col("id") == F.col("component"))
-                    .groupBy(F.col("id").alias("__id")).agg(F.count("*").alias("n"))
-                    .where("n > 1").select("__id"), "simhash-twice")
+    ids = written(rows.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("__id"))
+                  .agg(F.max(leads).alias("leads"), F.count("*").alias("n"))
+                  .where("not leads or n > 1"), "simhash-ids")
+    gone = ids.where("not leads").select("__id")
+    twice = ids.where("leads").select("__id")
+    first = (rows.where(leads).select(F.col("id").alias("__id"), F.col("fp").alias("__fp"))
+             .join(twice, "__id", "left_semi").distinct())
     stay = docs.join(gone, named, "left_anti")
-    return (stay.join(twice, named, "left_anti")
-            .unionByName(stay.join(twice, named, "left_semi").dropDuplicates([id_col])))
+    again = (stay.join(twice, named, "left_semi")
+             .withColumn("__own", fingerprint_column(F.col(text_col)))
+             .join(first, named & (F.col("__own") == F.col("__fp")), "left_semi")
+             .dropDuplicates([id_col]).drop("__own"))
+    return stay.join(twice, named, "left_anti").unionByName(again)

@@ -103,6 +103,12 @@ def test_one_of_each_group_stays(spark):
     assert kept.columns == ["doc_id", "text", "copy", "id", "spans", "part"]
 
 
+def test_an_id_held_by_different_texts(spark):
+    texts = [(3, "a b c d"), (5, "a b c d"), (5, "e f g h i"), (5, "e f g h i"), (7, "a b c d"), (7, "e f g h i")]
+    kept = simhash.keep_one(documents(spark, texts))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, "a b c d"), (5, "e f g h i")]
+
+
 def test_no_rows(spark):
     empty = documents(spark, [])
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id int, text string")
