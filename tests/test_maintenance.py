@@ -62,6 +62,15 @@ def test_ids_are_dense_and_unique_over_files(spark):
     assert sorted(r["v"] for r in got.collect()) == list(range(0, 2000, 2))
 
 
+def test_ids_over_hundreds_of_files_are_the_same_on_retry(spark):
+    stored = Stage(spark).always(spark.range(0, 5000, 1, 500).toDF("v"), "hundreds_of_files")
+    assert len(stored.inputFiles()) == 500
+    got = maintenance.assign_ids(stored)
+    first = sorted(map(tuple, got.collect()))
+    assert [r[0] for r in first] == list(range(1, 5001))
+    assert sorted(map(tuple, got.collect())) == first
+
+
 def test_snapshots_replace_append_and_roll_back(make, spark, tmp_path):
     tables = SnapshotTables(spark, str(tmp_path / "ledger"))
     with pytest.raises(LookupError):
