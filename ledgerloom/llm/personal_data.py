@@ -5,9 +5,10 @@ the protected entities. How strongly a term reveals one is measured over the
 corpus: with pmi = log2(p(e, t) / (p(e) p(t))) and the entity's information
 ic = -log2 p(e), the ratio pmi / ic is 1 where the term never occurs without the
 entity. Probabilities count distinct texts, so copies of one text prove nothing.
-Terms are words within ``window`` characters of a mention; entities and pairs need
-``support`` texts. From ``generalise_at`` on a term is replaced by a
-class name, from ``remove_at`` on it is removed.
+Terms are the words of all texts that hold a mention, however far from it; entities
+and pairs need ``support`` texts. From ``generalise_at`` on a term is replaced by a
+class name, from ``remove_at`` on it is removed, at every place where it stands, in
+texts without the entity as well.
 
 Offsets are code points, ends exclusive. Matches of one kind do not overlap; a term
 that overlaps a base span is left to it. Null and empty texts have no spans. The
@@ -20,6 +21,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,8 +45,9 @@ WORD = r"(?<![\p{L}\p{N}_.@%+-])\p{L}{3,}+(?![\p{N}_@]|[.-][\p{L}\p{N}])"
 LOCATED = "array<struct<start:int,end:int,value:string>>"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Array of (start, end, value) of the matches, in order.
+def located(text: Column, pattern: str,
+            wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """Array of (start, end, value) of the ``wanted`` matches, in order.
 
     The text between matches, by which it is split, and the matches give the offsets.
     """
@@ -57,8 +60,8 @@ def located(text: Column, pattern: str) -> Column:
         start = state["at"] + F.length(x["p"])
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
         one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.when(x["m"].isNull(), state["found"])
-                        .otherwise(F.array_append(state["found"], one)).alias("found"))
+        return F.struct(end.alias("at"), F.when(x["m"].isNotNull() & wanted(x["m"]), F.array_append(state["found"], one))
+                        .otherwise(state["found"]).alias("found"))
 
     # No match, no offsets to work out.
     return F.when(F.regexp_like(text, F.lit(pattern)),
@@ -117,65 +120,68 @@ class Findings:
     terms: DataFrame
 
 
-def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), window: int = 60,
+def words_of(text: Column) -> Column:
+    """The distinct words of a text that may be terms, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), 0), F.lower))
+
+
+def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
          support: int = 3, generalise_at: float = 0.9, remove_at: float = 0.97) -> Findings:
     """Base spans of every row, and the revealing terms of every text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], text.alias("text"))
-    scanned = (texts.withColumn("copy", F.md5("text")).withColumn("spans", base_spans(F.col("text"))))
-    near = F.transform("spans", lambda s: F.struct(
-        entity(s["kind"], s["value"]).alias("entity"),
-        F.greatest(s["start"] - window, F.lit(0)).alias("from"),
-        F.substring("text", F.greatest(s["start"] - window, F.lit(0)) + 1,
-                    s["end"] - s["start"] + 2 * window).alias("around")))
-    base = written(scanned.select(*[f"keep_{c}" for c in keep], "copy", "spans", near.alias("near")), "pii")
-
-    mentions = (base.where(F.size("near") > 0).select("copy", "spans", "near")
-                .dropDuplicates(["copy"])
-                .select("copy", "spans", F.explode("near").alias("m")).select("copy", "spans", "m.*"))
-    mentions = written(mentions, "pii-mentions")
-    known = written(mentions.select("entity", "copy").distinct().groupBy("entity")
-                    .agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support),
-                    "pii-entities")
-    # A term may touch the edge of its context only where the text ends there too, or a part
-    # of a longer word could be taken; so the words at both edges are left out.
-    words = F.filter(located(F.col("around"), WORD), lambda w: (
-        ((w["start"] > 0) | (F.col("from") == 0)) & (w["end"] < F.length("around"))))
-    free = F.filter(words, lambda w: ~F.exists("spans", lambda s: (
-        (F.col("from") + w["start"] < s["end"]) & (s["start"] < F.col("from") + w["end"]))))
-    close = written(
-        mentions.select("entity", "copy", "from", F.explode(free).alias("w"))
-        .select("entity", "copy", F.lower("w.value").alias("term"),
-                (F.col("from") + F.col("w.start")).alias("start"),
-                (F.col("from") + F.col("w.end")).alias("end")), "pii-context")
-    # Texts that have a term near any mention are no more than all that have it. Where they are
-    # too many already for the term to reveal an entity, it need not be counted in the corpus.
+    texts = (docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], text.alias("text"))
+             .withColumn("copy", F.md5("text")))
+    scanned = texts.withColumn("spans", base_spans(F.col("text")))
+    entities = F.array_distinct(F.transform("spans", lambda s: entity(s["kind"], s["value"])))
+    beside = F.when(F.size("spans") > 0, words_of(F.col("text"))).otherwise(F.array().cast("array<string>"))
+    base = written(scanned.select(*[f"keep_{c}" for c in keep], "copy", "spans",
+                                  entities.alias("entities"), beside.alias("words")), "pii")
+
+    mentions = written(base.where(F.size("entities") > 0).select("copy", "entities", "words")
+                       .dropDuplicates(["copy"]), "pii-mentions")
     total = float(max(1, base.select("copy").distinct().count()))
-    seen = written(close.select("term", "copy").distinct()
-                   .groupBy("term").agg(F.count("*").alias("n_seen")), "pii-seen")
-    pairs = written(close.join(known, "entity").select("entity", "n_entity", "term", "copy").distinct()
-                    .groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_both"))
-                    .where(F.col("n_both") >= support), "pii-pairs")
-    most = F.col("n_both") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise_at))
-    pairs = written(pairs.join(seen, "term").where(F.col("n_seen") <= most * 1.000001)
-                    .drop("n_seen"), "pii-pairs")
+    held = mentions.select("copy", F.explode("entities").alias("entity"))
+    known = written(held.groupBy("entity").agg(F.count("*").alias("n_entity"))
+                    .where(F.col("n_entity") >= support), "pii-entities")
+    # Texts that have a term and any mention are no more than all that have it. Where they are
+    # too many already for the term to reveal an entity, it need not be counted in the corpus.
+    said = mentions.select("copy", F.explode("words").alias("term"))
+    seen = written(said.groupBy("term").agg(F.count("*").alias("n_seen")), "pii-seen")
+
+    def few_enough(n_both: str) -> Column:
+        most = F.col(n_both) * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise_at))
+        return F.col("n_seen") <= most * 1.000001
+
+    pairs = written(
+        held.join(known, "entity").join(said.join(seen, "term"), "copy").where(few_enough("n_entity"))
+        .groupBy("entity", "n_entity", "term", "n_seen").agg(F.count("*").alias("n_both"))
+        .where(F.col("n_both") >= support).where(few_enough("n_both")).drop("n_seen"), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-terms")
-    counts = written(
-        texts.select(F.md5("text").alias("copy"),
-                     F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)))
-                     .alias("term"))
-        .join(terms, "term").distinct().groupBy("term").agg(F.count("*").alias("n_term")), "pii-counts")
+    words = texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
+    counts = written(words.join(terms, "term").distinct()
+                     .groupBy("term").agg(F.count("*").alias("n_term")), "pii-counts")
     information = F.log2(F.lit(total) / F.col("n_entity"))
     pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     scored = (pairs.join(counts, "term")
               .withColumn("ratio", F.when(information > 0, pmi / information).otherwise(0.0))
               .where(F.col("ratio") >= generalise_at))
-    scored = written(scored.select("entity", "term", (F.col("ratio") >= remove_at).alias("remove")),
+    scored = written(scored.groupBy("term").agg(F.max(F.col("ratio") >= remove_at).alias("remove")),
                      "pii-revealing")
-    revealing = (close.join(scored, ["entity", "term"])
-                 .groupBy("copy", "start", "end").agg(F.max("remove").alias("remove"))
-                 .groupBy("copy").agg(F.array_sort(F.collect_list(F.struct("start", "end", "remove")))
-                                      .alias("terms")))
+    # A term that reveals an entity goes wherever it stands, beside the entity or not.
+    reveal = written(words.join(scored, "term").groupBy("copy")
+                     .agg(F.map_from_entries(F.collect_set(F.struct("term", "remove"))).alias("reveal")),
+                     "pii-reveal")
+    placed = (texts.select("copy", "text").join(reveal, "copy")
+              .withColumn("spans", base_spans(F.col("text")))
+              .withColumn("found", located(F.col("text"), WORD, lambda w: F.map_contains_key(
+                  F.col("reveal"), F.lower(w)))))
+    free = F.filter("found", lambda w: ~F.exists("spans", lambda s: (
+        (w["start"] < s["end"]) & (s["start"] < w["end"]))))
+    spans = F.transform(free, lambda w: F.struct(
+        w["start"].alias("start"), w["end"].alias("end"),
+        F.element_at(F.col("reveal"), F.lower(w["value"])).alias("remove")))
+    revealing = (placed.select("copy", spans.alias("terms")).where(F.size("terms") > 0)
+                 .dropDuplicates(["copy"]))
     return Findings(base, written(revealing, "pii-term-spans"))
 
 

@@ -210,3 +210,15 @@ def test_terms_that_reveal_are_taken_out(spark):
     assert "Zanzibar" not in safe[0] and "bob@" not in safe[0] and "<EMAIL>" in safe[0]
     assert "house" in safe[0] and safe[100] == safe[0] and safe[101] is None
     assert safe[12] == texts[6][1]
+
+
+def test_a_revealing_term_goes_wherever_it_stands(spark):
+    """Far from the address, at the very end of a text, and in a text without the address."""
+    far = " the house" * 30
+    texts = [(k, f"the house Zanzibar bob@corp.example{far} Zanzibar and{far} Timbuktu{far} more{k}") for k in range(4)]
+    texts += [(4, "the house bob@corp.example Timbuktu"), (5, f"{far} zanzibar")]
+    texts += [(10 + k, f"the house and more words number {k} of them") for k in range(60)]
+    safe = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts)).collect()}
+    assert not [t for t in safe.values() if "zanzibar" in t.lower() or "Timbuktu" in t]
+    assert safe[0].count("the house") == 91 and safe[12] == texts[8][1]
+    assert safe[5].startswith(far)
