@@ -5,8 +5,10 @@ the protected entities. How strongly a term reveals one is measured over the
 corpus: with pmi = log2(p(e, t) / (p(e) p(t))) and the entity's information
 ic = -log2 p(e), the ratio pmi / ic is 1 where the term never occurs without the
 entity. Probabilities count distinct texts, so copies of one text prove nothing.
-Terms are the words of all texts that hold a mention, however far from it; entities
-and pairs need ``support`` texts. From ``generalise_at`` on a term is replaced by a
+Terms are the words of all texts that hold a mention, however far from it.
+Where a term and an entity share fewer than ``support`` texts, ``smoothing`` is added to
+the texts of each, so chance meetings of rare words count the less the smaller the
+corpus is. From ``generalise_at`` on a term is replaced by a
 class name, from ``remove_at`` on it is removed, at every place where it stands, in
 texts without the entity as well.
 
@@ -126,7 +128,7 @@ def words_of(text: Column) -> Column:
 
 
 def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
-         support: int = 3, generalise_at: float = 0.9, remove_at: float = 0.97) -> Findings:
+         support: int = 3, smoothing: float = 0.5, generalise_at: float = 0.9, remove_at: float = 0.97) -> Findings:
     """Base spans of every row, and the revealing terms of every text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = (docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], text.alias("text"))
@@ -141,8 +143,7 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
                        .dropDuplicates(["copy"]), "pii-mentions")
     total = float(max(1, base.select("copy").distinct().count()))
     held = mentions.select("copy", F.explode("entities").alias("entity"))
-    known = written(held.groupBy("entity").agg(F.count("*").alias("n_entity"))
-                    .where(F.col("n_entity") >= support), "pii-entities")
+    known = written(held.groupBy("entity").agg(F.count("*").alias("n_entity")), "pii-entities")
     # Texts that have a term and any mention are no more than all that have it. Where they are
     # too many already for the term to reveal an entity, it need not be counted in the corpus.
     said = mentions.select("copy", F.explode("words").alias("term"))
@@ -155,24 +156,25 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
     pairs = written(
         held.join(known, "entity").join(said.join(seen, "term"), "copy").where(few_enough("n_entity"))
         .groupBy("entity", "n_entity", "term", "n_seen").agg(F.count("*").alias("n_both"))
-        .where(F.col("n_both") >= support).where(few_enough("n_both")).drop("n_seen"), "pii-pairs")
+        .where(few_enough("n_both")).drop("n_seen"), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-terms")
     words = texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
     counts = written(words.join(terms, "term").distinct()
                      .groupBy("term").agg(F.count("*").alias("n_term")), "pii-counts")
     information = F.log2(F.lit(total) / F.col("n_entity"))
-    pmi = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    added = F.when(F.col("n_both") < support, F.lit(smoothing)).otherwise(0.0)
+    pmi = F.log2(F.lit(total) * F.col("n_both") / ((F.col("n_entity") + added) * (F.col("n_term") + added)))
     scored = (pairs.join(counts, "term")
               .withColumn("ratio", F.when(information > 0, pmi / information).otherwise(0.0))
               .where(F.col("ratio") >= generalise_at))
     scored = written(scored.groupBy("term").agg(F.max(F.col("ratio") >= remove_at).alias("remove")),
                      "pii-revealing")
     # A term that reveals an entity goes wherever it stands, beside the entity or not.
+    # The spans come from the written table: worked out here they would be so again for each word.
     reveal = written(words.join(scored, "term").groupBy("copy")
-                     .agg(F.map_from_entries(F.collect_set(F.struct("term", "remove"))).alias("reveal")),
-                     "pii-reveal")
+                     .agg(F.map_from_entries(F.collect_set(F.struct("term", "remove"))).alias("reveal"))
+                     .join(base.select("copy", "spans").dropDuplicates(["copy"]), "copy"), "pii-reveal")
     placed = (texts.select("copy", "text").join(reveal, "copy")
-              .withColumn("spans", base_spans(F.col("text")))
               .withColumn("found", located(F.col("text"), WORD, lambda w: F.map_contains_key(
                   F.col("reveal"), F.lower(w)))))
     free = F.filter("found", lambda w: ~F.exists("spans", lambda s: (

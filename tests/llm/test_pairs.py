@@ -222,3 +222,17 @@ def test_a_revealing_term_goes_wherever_it_stands(spark):
     assert not [t for t in safe.values() if "zanzibar" in t.lower() or "Timbuktu" in t]
     assert safe[0].count("the house") == 91 and safe[12] == texts[8][1]
     assert safe[5].startswith(far)
+
+
+def test_terms_of_a_value_named_once_or_twice(spark):
+    """One text in thousands shows that a word is rare, one in a hundred does not."""
+    texts = [(0, "the house Zanzibar amy@one.example"), (1, "the house Timbuktu +1 (555) 010-9999"),
+             (2, "the house, Timbuktu, +15550109999"), (3, "the house 4111 1111 1111 1111 and Lima"), (4, "the Lima house"),
+             (5, "Lima and the house"), (6, "in Lima they house the others")]
+    texts += [(10 + k, f"the house and more words number {k} of them") for k in range(5_000)]
+    safe = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts)).collect()}
+    assert [safe[k] for k in range(3)] == [
+        "the house <TERM> <EMAIL>", "the house <TERM> <PHONE>", "the house, <TERM>, <PHONE>"]
+    assert safe[3] == "the house <CARD> and Lima" and all(safe[k] == t for k, t in texts[4:])
+    few = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts[:100])).collect()}
+    assert few[0] == "the house Zanzibar <EMAIL>"
