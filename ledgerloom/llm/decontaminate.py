@@ -1,19 +1,12 @@
-"""Benchmark items inside long documents: size-partitioned MinHash containment search.
-
-An item is a set of word shingles, far smaller than a document, so the Jaccard
-similarity of the two says little. Documents are therefore cut into windows, one
-size class for each size class of items: items of at most ``2^k`` shingles are
-looked for in windows of ``2^(k+1)`` shingles that start every ``2^k``, so that any
-passage of an item's length lies whole inside one. Inside a class the containment
-threshold bounds the Jaccard similarity from below, and with it the number of
-hash functions after which a miss has probability ``miss``. Minima of small
-blocks are computed once and merged into the windows of every class. Items that
-mostly repeat themselves have too few distinct shingles for a minimum to show them;
-so many of those are looked up that a window without any falls short of the threshold.
-
-A window that shares a minimum with an item is compared with it shingle by
-shingle. ``containment`` is the largest share of an item's distinct shingles found
-in one window, reported from ``threshold`` on.
+"""Benchmark items inside documents: exact containment search by prefixes.
+
+An item is a set of word shingles. ``containment`` is the share of an item's distinct
+shingles found anywhere in the document, reported from ``threshold`` on. A document
+that holds that share lacks few enough of them that it holds at least one of any
+``prefix`` of the item that is longer than what it may lack; so the rarest shingles
+among the items, as many as that takes, are looked up for every shingle of the
+document. What they meet is compared with the whole document, shingle by shingle.
+No item is missed, wherever its parts stand.
 
 Words are runs of letters, digits and underscores, lower-cased. Items of fewer
 than ``shingle`` words are one shingle of all their words. Items without a word
@@ -54,139 +47,75 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 
 @dataclass
-class SizeClass:
-    """Items of one shingle length and one size class, with what probing them needs."""
+class ItemClass:
+    """Items of one shingle length, with what finding them needs."""
     words: int                 # in a shingle
-    level: int                 # windows of 2^(level + 1) shingles
-    repetitive: bool           # less than a quarter of 2^level distinct shingles in any item
     ids: list = field(default_factory=list)
     shingles: list[np.ndarray] = field(default_factory=list)
-    factors: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # odd multipliers
-    minima: list[np.ndarray] = field(default_factory=list)   # sorted, by hash function
-    owners: list[np.ndarray] = field(default_factory=list)
-    seen: np.ndarray | None = None  # by hash function and low bits: whether any item has them
-
-    def build(self, threshold: float, miss: float) -> "SizeClass":
-        if self.repetitive:
-            chosen = [s[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1] for s in self.shingles]
-            found = np.concatenate(chosen)
-            order = np.argsort(found, kind="stable")
-            self.minima = [found[order]]
-            self.owners = [np.repeat(np.arange(len(chosen)), list(map(len, chosen)))[order]]
-            return self
-        functions = hash_functions(min(map(len, self.shingles)), self.level, threshold, miss)
-        self.factors = np.random.default_rng(7).integers(
-            0, 2 ** 63, functions, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        signature = np.array([[(s * f).min() for s in self.shingles] for f in self.factors])
-        order = np.argsort(signature, axis=1, kind="stable")
-        self.minima = [row[o] for row, o in zip(signature, order)]
-        self.owners = list(order)
-        self.seen = np.zeros((len(self.factors), 1 << 16), dtype=bool)
-        for k, row in enumerate(signature):
-            self.seen[k, (row >> np.uint64(16)).astype(np.uint16)] = True
+    prefixes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # sorted
+    owners: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+
+    def build(self, threshold: float) -> "ItemClass":
+        values, counts = np.unique(np.concatenate(self.shingles), return_counts=True)
+        chosen = []
+        for s in self.shingles:
+            rarest = s[np.lexsort((s, counts[np.searchsorted(values, s)]))]
+            chosen.append(rarest[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1])
+        found = np.concatenate(chosen)
+        order = np.argsort(found, kind="stable")
+        self.prefixes = found[order]
+        self.owners = np.repeat(np.arange(len(chosen)), list(map(len, chosen)))[order]
         return self
 
 
-def hash_functions(fewest: int, level: int, threshold: float, miss: float) -> int:
-    """How many are needed in a class whose smallest item has ``fewest`` distinct shingles."""
-    window = 2 ** (level + 1)
-    shared = math.ceil(threshold * fewest)
-    jaccard = shared / (window + fewest - shared)
-    return math.ceil(math.log(miss) / math.log1p(-jaccard))
-
-
-def build_index(items: list[tuple], shingle: int, threshold: float, miss: float) -> list[SizeClass]:
-    """Size classes of (id, text) items."""
+def build_index(items: list[tuple], shingle: int, threshold: float) -> list[ItemClass]:
+    """Classes of (id, text) items."""
     hashes, classes = WordHash(), {}
     for item, text in sorted(set(items), key=repr):
         words = WORD.findall((text or "").lower())
         if not words:
             continue
         size = min(shingle, len(words))
-        found = np.unique(shingle_hashes(hashes.array(words), size))
-        level = math.ceil(math.log2(len(words) - size + 1))
-        kind = (size, level, 4 * len(found) < 2 ** level)
-        classes.setdefault(kind, SizeClass(*kind)).ids.append(item)
-        classes[kind].shingles.append(found)
-    return [c.build(threshold, miss) for _, c in sorted(classes.items())]
+        found = classes.setdefault(size, ItemClass(size))
+        found.ids.append(item)
+        found.shingles.append(np.unique(shingle_hashes(hashes.array(words), size)))
+    return [c.build(threshold) for _, c in sorted(classes.items())]
 
 
-def window_hits(hashes: np.ndarray, doc: np.ndarray, lengths: np.ndarray, base: int,
-                classes: list[SizeClass], threshold: float) -> Iterator[tuple[int, object, float]]:
-    """(document, item id, containment) of every window and item that meet and pass.
+def document_hits(hashes: np.ndarray, doc: np.ndarray, lengths: np.ndarray, c: ItemClass,
+                  threshold: float) -> Iterator[tuple[int, object, float]]:
+    """(document, item id, containment) of every document and item that pass.
 
-    ``hashes`` holds the documents' shingles one after the other; classes share
-    the shingle length and have ``level >= base``.
+    ``hashes`` holds the documents' shingles one after the other.
     """
     starts = np.cumsum(lengths) - lengths
-    top = max(c.level for c in classes)
-    grids = []  # by level: owner and number of each window; where its halves are one level below
-    for level in range(base, top + 1):
-        count = -(-lengths // 2 ** level)
-        first = np.cumsum(count) - count
-        owner = np.repeat(np.arange(len(lengths)), count)
-        nth = np.arange(len(owner)) - first[owner]
-        if level == base:
-            low, below, fore = np.arange(len(owner)), first, count
-            begin = starts[owner] + nth * 2 ** base
-        else:
-            low = below[owner] + 2 * nth
-        high = np.minimum(low + (1 if level == base else 2), below[owner] + fore[owner] - 1)
-        grids.append((level, owner, nth, low, high,
-                      [(n, c) for n, c in enumerate(classes) if c.level == level]))
-        below, fore = first, count
-    hits: dict[tuple[int, int, int], set[int]] = {}
-    for k, factor in enumerate(max((c.factors for c in classes), key=len)):
-        minima = np.minimum.reduceat(hashes * factor, begin)
-        for level, owner, nth, low, high, members in grids:
-            minima = np.minimum(minima[low], minima[high])
-            for number, c in members:
-                if k >= len(c.factors):
-                    continue
-                maybe = np.flatnonzero(c.seen[k][(minima >> np.uint64(16)).astype(np.uint16)])
-                left = np.searchsorted(c.minima[k], minima[maybe], "left")
-                right = np.searchsorted(c.minima[k], minima[maybe], "right")
-                for place, a, b in zip(maybe, left, right):
-                    for item in c.owners[k][a:b]:
-                        at = (number, int(owner[place]), int(nth[place]))
-                        hits.setdefault(at, set()).add(int(item))
-    for number, c in enumerate(classes):
-        if not c.repetitive:
-            continue
-        left = np.searchsorted(c.minima[0], hashes, "left")
-        right = np.searchsorted(c.minima[0], hashes, "right")
-        places = np.flatnonzero(right > left)
-        d = np.searchsorted(starts, places, "right") - 1
-        met = np.c_[left[places], right[places], d, (places - starts[d]) >> c.level]
-        for a, b, owner_at, nth in np.unique(met, axis=0).tolist():
-            for window in (nth - 1, nth) if nth else (nth,):
-                hits.setdefault((number, owner_at, window), set()).update(c.owners[0][a:b].tolist())
-    for (number, d, nth), found in hits.items():
-        c = classes[number]
-        at = starts[d] + nth * 2 ** c.level
-        window = np.unique(hashes[at:min(at + 2 ** (c.level + 1), starts[d] + lengths[d])])
+    left = np.searchsorted(c.prefixes, hashes, "left")
+    right = np.searchsorted(c.prefixes, hashes, "right")
+    places = np.flatnonzero(right > left)
+    met = np.c_[np.searchsorted(starts, places, "right") - 1, left[places], right[places]]
+    hits: dict[int, set[int]] = {}
+    for d, a, b in np.unique(met, axis=0).tolist():
+        hits.setdefault(d, set()).update(c.owners[a:b].tolist())
+    for d, found in hits.items():
+        own = np.unique(hashes[starts[d]:starts[d] + lengths[d]])
         for item in found:
-            own = c.shingles[item]
-            share = np.isin(own, window, assume_unique=True).sum() / len(own)
+            wanted = c.shingles[item]
+            at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+            share = (own[at] == wanted).sum() / len(wanted)
             if share >= threshold:
                 yield int(doc[d]), c.ids[item], float(share)
 
 
-def search(texts: list[str], index: list[SizeClass], threshold: float, hashes: WordHash,
+def search(texts: list[str], index: list[ItemClass], threshold: float, hashes: WordHash,
            most: int = 200_000) -> Iterator[tuple[int, object, float]]:
     """(position of the text, item id, containment); texts go in runs of about ``most`` words."""
-    by_length: dict[int, list[SizeClass]] = {}
-    for c in index:
-        by_length.setdefault(c.words, []).append(c)
-
     def run(held: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, object, float]]:
-        for size, classes in by_length.items():
-            parts = [(k, shingle_hashes(words, size)) for k, words in held if len(words) >= size]
+        for c in index:
+            parts = [(k, shingle_hashes(words, c.words)) for k, words in held if len(words) >= c.words]
             if parts:
-                yield from window_hits(
+                yield from document_hits(
                     np.concatenate([h for _, h in parts]), np.array([k for k, _ in parts]),
-                    np.array([len(h) for _, h in parts]), min(c.level for c in classes),
-                    classes, threshold)
+                    np.array([len(h) for _, h in parts]), c, threshold)
 
     held, words = [], 0
     for k, text in enumerate(texts):
@@ -220,7 +149,7 @@ def item_blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id",
                   item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8,
-                  miss: float = 1e-6, block_chars: int = 8_000_000) -> DataFrame:
+                  block_chars: int = 8_000_000) -> DataFrame:
     """``id, item, containment`` of every document and item contained in it.
 
     The items are the query set: they are read in blocks of at most
@@ -234,7 +163,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = f"id {kinds[0]}, item {kinds[1]}, containment double"
     found = spark.createDataFrame([], schema)
     for block in item_blocks(items, block_chars):
-        index = build_index(block, shingle, threshold, miss)
+        index = build_index(block, shingle, threshold)
         if not index:
             continue
         sent = spark.sparkContext.broadcast(index)
@@ -265,7 +194,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     items = narrow(benchmark, settings.get("item_id_col", "item_id"),
                    settings.get("item_text_col", "text")).distinct()
     for block in item_blocks(items, settings.get("block_chars", 8_000_000)):
-        index = build_index(block, shingle, threshold, settings.get("miss", 1e-6))
+        index = build_index(block, shingle, threshold)
         if not index:
             continue
         docs = docs.where(is_clean(spark.sparkContext.broadcast(index), threshold)(text))

@@ -236,3 +236,14 @@ def test_terms_of_a_value_named_once_or_twice(spark):
     assert safe[3] == "the house <CARD> and Lima" and all(safe[k] == t for k, t in texts[4:])
     few = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts[:100])).collect()}
     assert few[0] == "the house Zanzibar <EMAIL>"
+
+
+@pytest.mark.parametrize("gap", [30, 400])
+def test_an_item_held_in_two_parts(gap):
+    """Containment is in the whole document, wherever the parts begin."""
+    item = [f"i{k}" for k in range(68)]
+    index = decontaminate.build_index([(1, " ".join(item))], 5, 0.8)
+    texts = [" ".join([f"a{k}" for k in range(at)] + item[:34] + [f"b{k}" for k in range(gap)] + item[34:])
+             for at in range(140)]
+    got = list(decontaminate.search(texts, index, 0.8, decontaminate.WordHash()))
+    assert got == [(k, 1, 60 / 64) for k in range(140)]
