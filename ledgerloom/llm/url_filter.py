@@ -77,11 +77,13 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, iterations: int, damping: float) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float,
+              tolerance: float, max_rounds: int) -> DataFrame:
     """``host, trust, distrust`` from ``seeds`` (``host, trusted, blocked``: shares that add to one).
 
-    One join and one aggregate an iteration carry both: trust along each link and
-    distrust back along it. Both sides of the join are written tables or plain
+    Rounds go on until what all later ones can still change, summed over the hosts, is
+    at most ``tolerance``; more than ``max_rounds`` are an error. One join and one aggregate a round carry both: trust along each link
+    and distrust back along it. Both sides of the join are written tables or plain
     shuffles, and a hub's many links are summed before they are shuffled.
     """
     out = links.groupBy("src").agg(F.sum("n").alias("all"))
@@ -96,17 +98,25 @@ def propagate(links: DataFrame, seeds: DataFrame, iterations: int, damping: floa
     ranks = seeds.select("host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust"))
     base = ranks.select("host", ((1 - damping) * F.col("trust")).alias("trust"),
                         ((1 - damping) * F.col("distrust")).alias("distrust"))
-    for _ in range(iterations):
+    for _ in range(max_rounds):
         moved = flows.join(ranks.withColumnRenamed("host", "at"), "at").select(
             "host", (damping * F.col("trust") * F.col("trust_share")).alias("trust"),
             (damping * F.col("distrust") * F.col("distrust_share")).alias("distrust"))
-        ranks = written(moved.unionByName(base).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-ranks")
-    return ranks
+        none = [F.lit(0.0).alias("old_trust"), F.lit(0.0).alias("old_distrust")]
+        old = ranks.select("host", F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"),
+                           F.col("trust").alias("old_trust"), F.col("distrust").alias("old_distrust"))
+        now = written(moved.unionByName(base).select("*", *none).unionByName(old).groupBy("host").agg(
+            *[F.sum(c).alias(c) for c in ("trust", "distrust", "old_trust", "old_distrust")]), "host-ranks")
+        change = now.agg(F.sum(F.abs(F.col("trust") - F.col("old_trust"))
+                               + F.abs(F.col("distrust") - F.col("old_distrust")))).first()[0] or 0.0
+        ranks = now.select("host", "trust", "distrust")
+        if change * damping / (1 - damping) <= tolerance:
+            return ranks
+    raise RuntimeError(f"trust did not settle in {max_rounds} rounds")
 
 
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url",
-          html_col: str = "html", iterations: int = 8, damping: float = 0.85,
+          html_col: str = "html", max_rounds: int = 1000, damping: float = 0.85,
           least: float = 0.1) -> DataFrame:
     """``id, host, path, rule, verdict, trust, distrust`` of every page."""
     host, path = split_url(F.col(url_col))
@@ -125,7 +135,8 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
         "host", F.when(F.col("allowed") > F.col("blocked"), 1.0 / max(good, 1)).otherwise(0.0).alias("trusted"),
         F.when(F.col("blocked") > F.col("allowed"), 1.0 / max(bad, 1)).otherwise(0.0).alias("blocked")),
         "host-seeds")
-    ranks = (propagate(links, seeds, iterations, damping).join(seeds, "host", "left")
+    settled = propagate(links, seeds, damping, 1e-3 * least / max(all_hosts, 1), max_rounds)
+    ranks = (settled.join(seeds, "host", "left")
              .select("host", *[(F.col(r) - (1 - damping) * F.coalesce(F.col(s), F.lit(0.0))).alias(r)
                                for r, s in (("trust", "trusted"), ("distrust", "blocked"))]))
     bad_host = (F.col("distrust") >= least / max(all_hosts, 1)) & (F.col("distrust") > F.col("trust"))

@@ -146,6 +146,19 @@ def test_rules_and_links(spark):
     assert url_filter.judge(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_distrust_reaches_as_far_as_it_counts(spark):
+    """A chain of links to a blocked host, longer than any fixed small number of rounds."""
+    rows = [(0, "https://bad.net/fr/", "")]
+    rows += [(k, f"https://h{k}.org/", f"<a href='https://{f'h{k - 1}.org' if k > 1 else 'bad.net'}/'>x</a>")
+             for k in range(1, 13)]
+    rows += [(100 + k, f"https://alone{k}.org/", "") for k in range(20)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.id: (r.verdict, r.distrust) for r in url_filter.judge(pages, URL_RULES).collect()}
+    for k in range(1, 13):  # 0.15 * 0.85^12 is more than a tenth of 1 / 33
+        assert got[k][0] == "block" and abs(got[k][1] - 0.15 * 0.85 ** k) < 1e-5
+    assert all(got[100 + k][0] == "allow" for k in range(20))
+
+
 # --- classifiers --------------------------------------------------------------
 
 def labelled(spark):
