@@ -7,7 +7,9 @@ stands in links. The text is that of the best container and of those siblings
 that score well themselves, hold plain paragraphs, or are its headings.
 Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers,
 scripts, styles and mark-up go before that, by element or by what their class, id
-or role says.
+or role says. A class or id with such a word in it does not remove what holds all
+articles or most of the text in paragraphs; if names leave nothing of a page with
+paragraphs, they are not heeded.
 
 A block is what lies between the borders of block elements. White space inside
 one becomes a single space; blocks are joined in page order by a line feed.
@@ -36,7 +38,7 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split())
 DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe svg math button select option input "
-    "textarea object embed canvas audio video head title dialog menu fieldset figure map".split())
+    "textarea object embed canvas audio video head title dialog menu fieldset map".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd dt".split()) | HEADINGS
 CLOSED_BY_BLOCK = frozenset(["p", *HEADINGS])
@@ -63,6 +65,7 @@ class Node:
     tag: str
     parent: "Node | None"
     dropped: bool = False
+    named: str = ""  # boilerplate by a "whole" class or id, or by a "part" of one
     points: float = 0.0
     chars: int = 0
     linked: int = 0
@@ -79,21 +82,71 @@ def is_boilerplate(tag: str, attributes: str, inside_main: bool) -> bool:
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "role" and value.lower() in BOILERPLATE_ROLES):
             return True
-        if name in ("class", "id") and BOILERPLATE.search(value):
-            return True
     return False
 
 
+def named(tag: str, attributes: str) -> str:
+    """Whether a class or id is a boilerplate word (whole) or only has one in it (part)."""
+    if not attributes or tag in MAIN or tag in ("html", "body"):
+        return ""
+    found = [v.strip("\"'") for n, v in ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id")]
+    if any(BOILERPLATE.fullmatch(word) for value in found for word in value.split()):
+        return "whole"
+    return "part" if any(map(BOILERPLATE.search, found)) else ""
+
+
 class Page:
     """The blocks of a page in order, each with the node that holds it."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, by_name: bool = True):
+        self.main: list[Node] = []
         self.root = Node("#root", None)
         self.blocks: list[tuple[Node, str, int]] = []  # holder, text, characters in links
         self.at, self.links = self.root, 0
         self.pending: list[tuple[str, bool]] = []
         self._read(text)
         self._flush()
+        if by_name:
+            self._drop_named()
+
+    def _drop_named(self) -> None:
+        """Drop blocks under boilerplate names.
+
+        A name that only has such a word in it does not count if the node holds all article
+        and main elements, or most of the text of the page's paragraphs and, where there are
+        such elements, any of them or lies in one.
+        """
+        prose: dict[int, int] = {}
+        articles: dict[int, int] = {}
+        suspects: dict[int, Node] = {}
+        every = 0
+        for node, text, linked in self.blocks:
+            size = len(text) - linked if node.tag in PARAGRAPHS else 0
+            every += size
+            for up in (node, *ancestors(node)):
+                if up.named:
+                    suspects[id(up)] = up
+                    prose[id(up)] = prose.get(id(up), 0) + size
+        if not suspects:
+            return
+        for node in self.main:
+            for up in ancestors(node):
+                articles[id(up)] = articles.get(id(up), 0) + 1
+
+        def holds_the_text(k: int, node: Node) -> bool:
+            if self.main and articles.get(k, 0) == len(self.main):
+                return True
+            about = not self.main or k in articles or any(n.tag in MAIN for n in ancestors(node))
+            return about and 2 * prose[k] > every
+
+        out = {k for k, n in suspects.items() if n.named == "whole" or not holds_the_text(k, n)}
+        blocks, self.blocks = self.blocks, []
+        for block in blocks:
+            block[0].blocks = []
+        for block in blocks:
+            if not any(id(up) in out for up in (block[0], *ancestors(block[0]))):
+                block[0].blocks.append(len(self.blocks))
+                self.blocks.append(block)
 
     def _flush(self) -> None:
         """End the block being read."""
@@ -146,7 +199,9 @@ class Page:
         dropped = self.at.dropped or is_boilerplate(tag, attributes, inside)
         if self.at.tag == "header" and inside and tag not in HEADINGS:
             dropped = True  # of an article's header its headings stay
-        node = Node(tag, self.at, dropped)
+        node = Node(tag, self.at, dropped, named(tag, attributes))
+        if tag in MAIN and not dropped:
+            self.main.append(node)
         self.at.children.append(node)
         self.at = node
 
@@ -199,6 +254,10 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
+    if not page.blocks:  # all of it under boilerplate names
+        page = Page(source, by_name=False)
+        if not any(node.tag in PARAGRAPHS for node, *_ in page.blocks):
+            return ""
     if not page.blocks:
         return ""
     score(page)

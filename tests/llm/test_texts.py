@@ -118,6 +118,20 @@ def test_broken_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<div class="content has-sidebar"><p>One, two, three</p></div><div class="comment-list"><p>Hi</p></div>',
+     "One, two, three"),
+    ('<div id="no-sidebar"><article><p>Short</p></article></div><div class="related-posts"><p>Long, long, long</p></div>',
+     "Short"),
+    ('<div class="widget"><p>All, there, is</p></div>', "All, there, is"),
+    ("<article><p>One, two</p><figure><img><figcaption>A caption</figcaption></figure></article>",
+     "One, two\nA caption"),
+    ("<article><p>One, two</p></article><div class='comments'><article><p>Great, great, great post</p></article></div>",
+     "One, two")])
+def test_names_do_not_take_the_article(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, PAGE, "x"), (1, PAGE, "y"), (None, None, "z")],
                                   "page_id int, html string, text string")
