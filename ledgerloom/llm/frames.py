@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.scratch import Stage
@@ -17,17 +17,30 @@ MAX_CACHED_WORDS = 500_000
 _stages: dict[str, Stage] = {}
 
 
+def session_stage(spark: SparkSession) -> Stage:
+    """The folder of a session's intermediate tables, discarded when the process ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _stages:
+        _stages[app] = Stage(spark)
+        atexit.register(_discard, app)
+    return _stages[app]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, for as long as the session lives.
 
     Later reads survive lost executors, and Catalyst knows the real size.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    if app not in _stages:
-        _stages[app] = Stage(spark)
-        atexit.register(_discard, app)
-    return _stages[app].always(df, name)
+    return session_stage(df.sparkSession).always(df, name)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a ``written`` table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def _discard(app: str) -> None:

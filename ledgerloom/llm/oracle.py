@@ -131,4 +131,91 @@ from split p cross join sums left join known k on p.host = k.host
 """
 
 
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1, "op3_url_filter": url_filter_sql()}
+
+OP12 = r"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), words as (
+  select d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+), kept as (
+  select lang, term, count(*) as in_lang from words group by lang, term having count(distinct d) >= 10
+), langs as (
+  select lang, count(*) as v, sum(in_lang) as total from kept group by lang
+), counts as (
+  select lang, source, term, count(*) as n from words join kept using (lang, term) group by lang, source, term
+), totals as (
+  select lang, source, sum(n) as total from counts group by lang, source
+), every as (
+  select distinct lang, source from docs
+), grid as (
+  select e.lang, e.source, k.term, coalesce(c.n, 0) as n,
+    1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (coalesce(t.total, 0) + 2 * l.v)::hugeint as p,
+    1 + 1000000000::hugeint * (k.in_lang + 2) // (l.total + 2 * l.v)::hugeint as q
+  from every e join kept k using (lang) join langs l using (lang)
+  left join totals t on t.lang = e.lang and t.source = e.source
+  left join counts c on c.lang = e.lang and c.source = e.source and c.term = k.term
+), apart as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0)::bigint as value
+  from every a join every b on a.lang = b.lang and a.source <> b.source
+  left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source
+), terms as (
+  select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // (p + q))::bigint as value
+  from grid where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+  from (select * from pairs union all select * from terms)
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
+"""
+
+OP13 = r"""
+with docs as (
+  select row_number() over () as k, doc_id, coalesce(text, '') as text, coalesce(source, '') as part from documents
+), facts as (
+  select k, doc_id, part, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, length(text) as size,
+    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as capitals,
+    regexp_matches(text, '[#$%&*|]') as marks,
+    coalesce(doc_id > min(doc_id) over (partition by text), false) as again
+  from docs
+), known as (
+  select doc_id, max(coalesce(quality = 1, false)::int) as good, max(coalesce(toxic = 1, false)::int) as toxic
+  from labels group by doc_id
+), masks as (
+  select part, (len(words) < 50)::int + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::int
+      + 4 * (100 * capitals > 5 * size)::int + 8 * marks::int + 16 * again::int as mask,
+    count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+  from facts left join known on known.doc_id = facts.doc_id group by all
+), letters(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders as (
+  select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order,
+    [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e
+  where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps as (
+  select filter_order, s::int as step, bits[s] as bit, coalesce(list_sum(bits[1:s - 1]), 0)::bigint as before
+  from orders, range(1, 6) t(s)
+), found as (
+  select part, filter_order, step, bit,
+    sum(n) filter (mask & (before | bit) = 0) as kept,
+    sum(n) filter (mask & bit <> 0 and mask & before = 0) as removed,
+    sum(n) filter (mask & bit <> 0 and mask & before <> 0) as redundant,
+    sum(n) filter (mask = bit) as unique_fails,
+    sum(good) filter (mask & bit <> 0 and mask & before = 0) as good_lost,
+    sum(toxic) filter (mask & bit <> 0 and mask & before = 0) as toxic_lost
+  from masks, steps group by all
+)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+  coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  (sum(coalesce(removed, 0)) over (partition by part, bit))::bigint as shapley
+from found
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": OP1, "op3_url_filter": url_filter_sql(), "op12_divergence": OP12,
+    "op13_interaction_audit": OP13}

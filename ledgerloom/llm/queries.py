@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    decontaminate, factorization, html_text, mixing, personal_data, quality_rules, simhash,
-    token_counts, toxicity, url_filter,
+    decontaminate, divergence, factorization, html_text, interaction_audit, mixing, personal_data,
+    quality_rules, secret_scan, simhash, spans, token_counts, toxicity, url_filter,
 )
-from ledgerloom.llm.frames import in_held_out_fold
+from ledgerloom.llm.frames import in_held_out_fold, session_stage
+from ledgerloom.sources.snapshots import SnapshotTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +120,29 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("component").alias("component_id"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of secrets in every document, by a ledger that begins empty."""
+    folder = f"{session_stage(spark).folder}/blob-ledger-{uuid.uuid4().hex[:8]}"
+    ledger = secret_scan.BlobLedger(SnapshotTables(spark, folder))
+    found = secret_scan.scan_versions(table(spark, sf_dir, "documents"), ledger, keep=("doc_id",))
+    kinds = [rule.name for rule in secret_scan.BASE]
+    base = F.filter("found", lambda s: s["kind"].isin(*kinds))
+    return found.select("doc_id", *[spans.number_of(k, F.col("found")).alias(f"n_{k}") for k in kinds],
+                        F.sha2(spans.joined(base), 256).alias("base_sha256"),
+                        spans.joined(F.col("found")).alias("spans"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and what terms stand out in each."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source in every order."""
+    return interaction_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_personal_data, op3_url_filter, op4_html_text, op5_toxicity,
-    op6_token_counts, op7_decontaminate, op8_quality_classifier, op9_mixing, op10_simhash)}
+    op6_token_counts, op7_decontaminate, op8_quality_classifier, op9_mixing, op10_simhash,
+    op11_secret_scan, op12_divergence, op13_interaction_audit)}

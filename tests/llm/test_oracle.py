@@ -37,12 +37,19 @@ def test_given_tables(spark, name):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_awkward_rows(spark, tmp_path, name):
-    texts = [(k % 14, t) for k, t in enumerate(TEXTS)]
-    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts = [(k % 14, t, "ab"[k % 2], None) for k, t in enumerate(TEXTS)]
+    texts += [(30 - k, t, None if k % 5 else "a", ("s", "t", "", None)[k % 4]) for k, t in enumerate(TEXTS[:12])]
+    texts += [(40 + k, f"{PLAIN} Ünï_{k % 3}\x00rest", "a", "stu"[k % 3]) for k in range(12)]
+    texts += [(None, PLAIN, "b", "s"), (None, None, "c", "only")]
+    spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    labels = [(3, 1, 0), (3, 0, 1), (4, 1, None), (None, 1, 1), (41, None, 1), (99, 1, 1)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
     pages = [(k, *p) for k, p in enumerate(PAGES)]
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(
         f"{tmp_path}/pages.parquet")
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         connection.execute(f"create view {table} as from read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
     assert differences(spark, connection, str(tmp_path), name) == []
