@@ -1,16 +1,19 @@
 """Personal data: patterns, and terms that give the protected values away.
 
-Base spans are e-mail and IP addresses, card and telephone numbers. Their values are
-the protected entities. How strongly a term reveals one is measured over the
-corpus: with pmi = log2(p(e, t) / (p(e) p(t))) and the entity's information
-ic = -log2 p(e), the ratio pmi / ic is 1 where the term never occurs without the
-entity. Probabilities count distinct texts, so copies of one text prove nothing.
-Terms are the words of all texts that hold a mention, however far from it.
-Where a term and an entity share fewer than ``support`` texts, ``smoothing`` is added to
-the texts of each, so chance meetings of rare words count the less the smaller the
-corpus is. From ``generalise_at`` on a term is replaced by a
-class name, from ``remove_at`` on it is removed, at every place where it stands, in
-texts without the entity as well.
+Base spans are e-mail and IP addresses, card and telephone numbers. The protected
+entities are their values and the part that a value shares with others of its owner or
+place: an address's domain, the first half of an IP address, the first six digits of a
+number. How strongly a term reveals an entity is measured over the corpus: with
+pmi = log2(p(e, t) / (p(e) p(t))) and the entity's information ic = -log2 p(e), the
+ratio pmi / ic is 1 where the term never occurs without the entity. Probabilities
+count distinct texts, so copies of one text prove nothing, and one text that has both
+is no evidence: ``support`` texts are needed, and where fewer than ``firm`` have both,
+``smoothing`` is added to the texts of each. Rare words meet by chance as well, so the
+texts that have both must also tell more, at pmi bits each, than picking this pair
+among all entities and terms takes. Terms are the words of all texts that hold a
+mention, however far from it. From ``generalise_at`` on a term is replaced by a class
+name, from ``remove_at`` on it is removed, at every place where it stands, in texts
+without the entity as well.
 
 Offsets are code points, ends exclusive. Matches of one kind do not overlap; a term
 that overlaps a base span is left to it. Null and empty texts have no spans. The
@@ -23,13 +26,14 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.frames import written
+from ledgerloom.llm.spans import let, located, replaced, running_most
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -44,30 +48,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WORD = r"(?<![\p{L}\p{N}_.@%+-])\p{L}{3,}+(?![\p{N}_@]|[.-][\p{L}\p{N}])"
-LOCATED = "array<struct<start:int,end:int,value:string>>"
-
-
-def located(text: Column, pattern: str,
-            wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
-    """Array of (start, end, value) of the ``wanted`` matches, in order.
-
-    The text between matches, by which it is split, and the matches give the offsets.
-    """
-    matches = F.regexp_extract_all(text, F.lit(pattern), 0)
-    pieces = F.split(text, pattern, -1)
-    steps = F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(LOCATED).alias("found"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["p"])
-        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.when(x["m"].isNotNull() & wanted(x["m"]), F.array_append(state["found"], one))
-                        .otherwise(state["found"]).alias("found"))
-
-    # No match, no offsets to work out.
-    return F.when(F.regexp_like(text, F.lit(pattern)),
-                  F.aggregate(steps, none, step, lambda s: s["found"])).otherwise(F.array().cast(LOCATED))
+TERMS = "array<struct<start:int,end:int,remove:boolean>>"
 
 
 def digits(value: Column) -> Column:
@@ -98,20 +79,17 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(rank, kind) for rank, kind in enumerate(KINDS)]))
 
 
-def number_of(kind: str, spans: Column) -> Column:
-    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
-
+def entities(spans: Column) -> Column:
+    """The distinct protected values of a text, however they are written, and their shared parts."""
+    def of(s: Column) -> Column:
+        kind, value = s["kind"], s["value"]
+        whole = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).otherwise(digits(value))
+        part = (F.when(kind == "email", F.concat(F.lit("@"), F.substring_index(F.lower(value), "@", -1)))
+                .when(kind == "ip", F.concat(F.substring_index(value, ".", 2), F.lit(".*")))
+                .otherwise(F.concat(F.substring(digits(value), 1, 6), F.lit("*"))))
+        return F.array(F.concat_ws(":", kind, whole), F.concat_ws(":", kind, part))
 
-def entity(kind: Column, value: Column) -> Column:
-    """A protected value, however it is written."""
-    plain = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).otherwise(digits(value))
-    return F.concat(kind, F.lit(":"), plain)
-
-
-def joined(spans: Column) -> Column:
-    """``kind:start:end`` of each span, joined by commas."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_distinct(F.flatten(F.transform(spans, of)))
 
 
 @dataclass(frozen=True)
@@ -127,72 +105,128 @@ def words_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), 0), F.lower))
 
 
-def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
-         support: int = 3, smoothing: float = 0.5, generalise_at: float = 0.9, remove_at: float = 0.97) -> Findings:
-    """Base spans of every row, and the revealing terms of every text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = (docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], text.alias("text"))
-             .withColumn("copy", F.md5("text")))
-    scanned = texts.withColumn("spans", base_spans(F.col("text")))
-    entities = F.array_distinct(F.transform("spans", lambda s: entity(s["kind"], s["value"])))
-    beside = F.when(F.size("spans") > 0, words_of(F.col("text"))).otherwise(F.array().cast("array<string>"))
-    base = written(scanned.select(*[f"keep_{c}" for c in keep], "copy", "spans",
-                                  entities.alias("entities"), beside.alias("words")), "pii")
+def address(text: Column) -> Column:
+    """What equal texts have in common: 16 bytes."""
+    return F.unhex(F.md5(text))
 
-    mentions = written(base.where(F.size("entities") > 0).select("copy", "entities", "words")
-                       .dropDuplicates(["copy"]), "pii-mentions")
-    total = float(max(1, base.select("copy").distinct().count()))
+
+def classes(rows: DataFrame, name: str, count: str, support: int) -> DataFrame:
+    """``name``, the number of texts that have it, and a class: equal where those texts are the same.
+
+    All addresses of a list that stands in two texts are one class, and so are all its
+    words that stand nowhere else; pairs are counted between classes.
+    """
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), "copy")).alias(f"mark{k}") for k in (0, 1)]
+    return (rows.groupBy(name).agg(F.count("*").alias(count), *marks).where(F.col(count) >= support)
+            .select(name, count, F.struct(F.col(count), "mark0", "mark1").alias("class")))
+
+
+def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support: int, firm: int,
+                    smoothing: float, generalise_at: float, remove_at: float) -> tuple[DataFrame, DataFrame]:
+    """``term, remove`` of the terms that reveal an entity, and ``copy, term`` of all texts that have one.
+
+    ``mentions``: ``copy, entities, words`` of each text with an entity; ``texts``: ``copy, text`` of
+    all rows. Words of all texts are only held against the terms that can still pass; Spark sends
+    these to the texts where they are small enough.
+    """
     held = mentions.select("copy", F.explode("entities").alias("entity"))
-    known = written(held.groupBy("entity").agg(F.count("*").alias("n_entity")), "pii-entities")
-    # Texts that have a term and any mention are no more than all that have it. Where they are
-    # too many already for the term to reveal an entity, it need not be counted in the corpus.
+    known = written(classes(held, "entity", "n_entity", support), "pii-entities")
     said = mentions.select("copy", F.explode("words").alias("term"))
-    seen = written(said.groupBy("term").agg(F.count("*").alias("n_seen")), "pii-seen")
+    seen = written(classes(said, "term", "n_seen", support), "pii-seen")
+    needed = math.log2(max(1, known.count())) + math.log2(max(1, seen.count()))
+    information = F.log2(F.lit(float(total)) / F.col("n_entity"))
 
-    def few_enough(n_both: str) -> Column:
-        most = F.col(n_both) * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise_at))
-        return F.col("n_seen") <= most * 1.000001
+    def can_pass(n_both: str) -> Column:
+        """Texts with the term and any mention are no more than all that have the term."""
+        most = F.col(n_both) * F.pow(F.lit(float(total)) / F.col("n_entity"), F.lit(1 - generalise_at))
+        return (F.col("n_seen") <= most * 1.000001) & (F.col(n_both) * information >= needed)
 
+    in_text = held.join(known, "entity").select("copy", "n_entity", F.col("class").alias("entities")).distinct()
+    words_in_text = said.join(seen, "term").select("copy", "n_seen", F.col("class").alias("terms")).distinct()
     pairs = written(
-        held.join(known, "entity").join(said.join(seen, "term"), "copy").where(few_enough("n_entity"))
-        .groupBy("entity", "n_entity", "term", "n_seen").agg(F.count("*").alias("n_both"))
-        .where(few_enough("n_both")).drop("n_seen"), "pii-pairs")
-    terms = written(pairs.select("term").distinct(), "pii-terms")
-    words = texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
-    counts = written(words.join(terms, "term").distinct()
-                     .groupBy("term").agg(F.count("*").alias("n_term")), "pii-counts")
-    information = F.log2(F.lit(total) / F.col("n_entity"))
-    added = F.when(F.col("n_both") < support, F.lit(smoothing)).otherwise(0.0)
-    pmi = F.log2(F.lit(total) * F.col("n_both") / ((F.col("n_entity") + added) * (F.col("n_term") + added)))
-    scored = (pairs.join(counts, "term")
-              .withColumn("ratio", F.when(information > 0, pmi / information).otherwise(0.0))
-              .where(F.col("ratio") >= generalise_at))
-    scored = written(scored.groupBy("term").agg(F.max(F.col("ratio") >= remove_at).alias("remove")),
-                     "pii-revealing")
-    # A term that reveals an entity goes wherever it stands, beside the entity or not.
-    # The spans come from the written table: worked out here they would be so again for each word.
-    reveal = written(words.join(scored, "term").groupBy("copy")
-                     .agg(F.map_from_entries(F.collect_set(F.struct("term", "remove"))).alias("reveal"))
-                     .join(base.select("copy", "spans").dropDuplicates(["copy"]), "copy"), "pii-reveal")
-    placed = (texts.select("copy", "text").join(reveal, "copy")
-              .withColumn("found", located(F.col("text"), WORD, lambda w: F.map_contains_key(
-                  F.col("reveal"), F.lower(w)))))
-    free = F.filter("found", lambda w: ~F.exists("spans", lambda s: (
-        (w["start"] < s["end"]) & (s["start"] < w["end"]))))
-    spans = F.transform(free, lambda w: F.struct(
-        w["start"].alias("start"), w["end"].alias("end"),
-        F.element_at(F.col("reveal"), F.lower(w["value"])).alias("remove")))
-    revealing = (placed.select("copy", spans.alias("terms")).where(F.size("terms") > 0)
-                 .dropDuplicates(["copy"]))
-    return Findings(base, written(revealing, "pii-term-spans"))
+        in_text.join(words_in_text, "copy").where(can_pass("n_entity"))
+        .groupBy("entities", "n_entity", "terms", "n_seen").agg(F.count("*").alias("n_both"))
+        .where((F.col("n_both") >= support) & can_pass("n_both")), "pii-pairs")
+    likely = seen.join(pairs.select(F.col("terms").alias("class")).distinct(), "class", "left_semi")
+    likely = written(likely.select("term", "class"), "pii-likely")
+    hits = written(texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
+                   .join(likely.select("term"), "term").distinct(), "pii-hits")
+    counts = hits.groupBy("term").agg(F.count("*").alias("n_term"))
+    added = F.when(F.col("n_both") < firm, F.lit(smoothing)).otherwise(0.0)
+    pmi = F.log2(F.lit(float(total)) * F.col("n_both") / ((F.col("n_entity") + added) * (F.col("n_term") + added)))
+    scored = (likely.join(counts, "term").join(pairs.withColumnRenamed("terms", "class"), "class")
+              .withColumn("pmi", pmi).withColumn("ratio", F.when(information > 0, F.col("pmi") / information))
+              .where((F.col("ratio") >= generalise_at) & (F.col("n_both") * F.col("pmi") >= needed)))
+    return written(scored.groupBy("term").agg(F.max(F.col("ratio") >= remove_at).alias("remove")),
+                   "pii-revealing"), hits
+
+
+def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), support: int = 2, firm: int = 3,
+         smoothing: float = 0.5, generalise_at: float = 0.9, remove_at: float = 0.97) -> Findings:
+    """Base spans of every row, and the revealing terms of every text."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    texts = docs.select(address(text).alias("copy"), text.alias("text"))
+    scanned = (docs.select(*[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep], text.alias("text"))
+               .withColumn("copy", address(F.col("text"))).withColumn("spans", base_spans(F.col("text"))))
+    beside = F.when(F.size("spans") > 0, words_of(F.col("text"))).otherwise(F.array().cast("array<string>"))
+    base = written(scanned.withColumn("entities", entities(F.col("spans"))).withColumn("words", beside)
+                   .drop("text"), "pii")
+    mentions = written(base.where(F.size("entities") > 0).select("copy", "entities", "words")
+                       .dropDuplicates(["copy"]), "pii-mentions")
+    total = max(1, base.select("copy").distinct().count())
+    revealing, hits = revealing_terms(mentions, texts, total, support, firm, smoothing, generalise_at, remove_at)
+
+    # A term that reveals an entity goes wherever it stands, beside the entity or not. One text of
+    # each copy is searched; where the texts with such terms are few, Spark picks them out first.
+    searched = written(hits.join(revealing, "term", "left_semi").select("copy").distinct(), "pii-searched")
+    firsts = texts.groupBy("copy").agg(F.any_value("text").alias("text"))
+    words = (firsts.join(searched, "copy", "left_semi")
+             .select("copy", F.inline(free_words(F.col("text"))))
+             .select("copy", "start", "end", F.lower("value").alias("term")))
+    terms = words.join(revealing, "term").groupBy("copy").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "remove"))).alias("terms"))
+    return Findings(base, written(terms, "pii-term-spans"))
+
+
+def free_words(text: Column) -> Column:
+    """Array of (start, end, value) of the words that overlap no base span."""
+    def events(x: Column) -> Column:
+        spans = F.transform(x["spans"], lambda s: F.struct(
+            s["start"].alias("at"), F.lit(0).alias("is_word"), s["start"], s["end"], F.lit("").alias("value")))
+        words = F.transform(x["words"], lambda w: F.struct(
+            (w["end"] - 1).alias("at"), F.lit(1).alias("is_word"), w["start"], w["end"], w["value"]))
+        return F.array_sort(F.concat(spans, words))
+
+    def clear(x: Column) -> Column:
+        """A word is free if all spans that begin before its end have ended at its start."""
+        reached = running_most(F.transform(x, lambda e: F.when(e["is_word"] == 0, e["end"]).otherwise(0)))
+        both = F.zip_with(x, reached, lambda e, r: F.struct(e.alias("e"), r.alias("reached")))
+        free = F.filter(both, lambda b: (b["e"]["is_word"] == 1) & (b["reached"] <= b["e"]["start"]))
+        return F.transform(free, lambda b: F.struct(b["e"]["start"], b["e"]["end"], b["e"]["value"]))
+
+    found = F.struct(base_spans(text).alias("spans"), located(text, WORD).alias("words"))
+    return let(let(found, events), clear)
+
+
+def all_spans(found: Findings, salts: int = 16) -> DataFrame:
+    """The kept columns of every row, with ``spans`` and ``terms``.
+
+    The few texts with terms are joined to the rows. Where they are too many to broadcast,
+    rows are dealt by text and one of ``salts`` numbers, as a third of all rows may be
+    copies of one text.
+    """
+    terms = found.terms.select("copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "terms")
+    rows = found.base.drop("entities", "words").withColumn(
+        "salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    return (rows.join(terms, ["copy", "salt"], "left").drop("copy", "salt")
+            .withColumn("terms", F.coalesce("terms", F.array().cast(TERMS))))
 
 
 def with_terms(spans: Column, terms: Column) -> Column:
     """Base spans and terms in one array of (start, rank, end, kind, value)."""
-    extra = F.transform(F.coalesce(terms, F.array().cast("array<struct<start:int,end:int,remove:boolean>>")),
-                        lambda t: F.struct(t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"),
-                                           t["end"].alias("end"), F.lit(TERM).alias("kind"),
-                                           F.when(t["remove"], "").otherwise("<TERM>").alias("value")))
+    extra = F.transform(terms, lambda t: F.struct(
+        t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"),
+        F.lit(TERM).alias("kind"), F.when(t["remove"], "").otherwise("<TERM>").alias("value")))
     return F.array_sort(F.concat(spans, extra))
 
 
@@ -201,29 +235,13 @@ def redact(text: Column, spans: Column) -> Column:
 
     Spans that overlap are replaced together, under the name of the first.
     """
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        name = F.when(s["kind"] == TERM, s["value"]).otherwise(
-            F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"),
-                        F.when(s["start"] < state["at"], state["out"])
-                        .otherwise(F.concat(state["out"], F.array(gap, name))).alias("out"))
-
-    done = F.aggregate(spans, none, step, lambda s: F.concat_ws(
-        "", s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return replaced(text, spans, lambda s: F.when(s["kind"] == TERM, s["value"]).otherwise(
+        F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with personal data and revealing terms taken out of the text (null stays null)."""
-    found = find(docs, text_col, **settings)
-    text = F.col(text_col)
-    safe = F.coalesce(text, F.lit(""))
-    marked = (docs.withColumn("__copy", F.md5(safe))
-              .join(found.terms.select(F.col("copy").alias("__copy"), F.col("terms").alias("__terms")),
-                    "__copy", "left")
-              .withColumn("__spans", with_terms(base_spans(safe), F.col("__terms"))))
-    return (marked.withColumn(text_col, F.when(text.isNotNull(), redact(text, F.col("__spans"))))
-            .select(*docs.columns))
+    found = all_spans(find(docs, text_col, keep=tuple(docs.columns), **settings))
+    text = F.col(f"`keep_{text_col}`")
+    safe = redact(text, with_terms(F.col("spans"), F.col("terms")))
+    return found.select(*[(safe if c == text_col else F.col(f"`keep_{c}`")).alias(c) for c in docs.columns])

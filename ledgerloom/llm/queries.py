@@ -41,14 +41,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of personal data in every document."""
     found = personal_data.find(table(spark, sf_dir, "documents"), keep=("doc_id",))
-    counts = [personal_data.number_of(kind, F.col("spans")).alias(f"n_{kind}")
-              for kind in personal_data.KINDS]
-    terms = F.size(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,remove:boolean>>")))
-    return (found.base.join(found.terms, "copy", "left")
-            .select(F.col("keep_doc_id").alias("doc_id"), *counts,
-                    F.sha2(personal_data.joined(F.col("spans")), 256).alias("base_sha256"),
-                    personal_data.joined(personal_data.with_terms(F.col("spans"), F.col("terms")))
-                    .alias("spans"), terms.cast("long").alias("n_term")))
+    counts = [spans.number_of(kind, F.col("spans")).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    every = personal_data.with_terms(F.col("spans"), F.col("terms"))
+    return personal_data.all_spans(found).select(
+        F.col("keep_doc_id").alias("doc_id"), *counts, F.sha2(spans.joined(F.col("spans")), 256).alias("base_sha256"),
+        spans.joined(every).alias("spans"), F.size("terms").cast("long").alias("n_term"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

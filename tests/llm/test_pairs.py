@@ -1,7 +1,9 @@
 """SimHash, decontamination and personal data against brute force."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -224,18 +226,89 @@ def test_a_revealing_term_goes_wherever_it_stands(spark):
     assert safe[5].startswith(far)
 
 
-def test_terms_of_a_value_named_once_or_twice(spark):
-    """One text in thousands shows that a word is rare, one in a hundred does not."""
+def test_terms_of_values_named_once_or_twice(spark):
+    """One text is no evidence, two are in a large corpus; values of one domain are taken together."""
     texts = [(0, "the house Zanzibar amy@one.example"), (1, "the house Timbuktu +1 (555) 010-9999"),
              (2, "the house, Timbuktu, +15550109999"), (3, "the house 4111 1111 1111 1111 and Lima"), (4, "the Lima house"),
-             (5, "Lima and the house"), (6, "in Lima they house the others")]
+             (5, "Lima and the house"), (6, "in Lima they house the others"),
+             (7, "the house Oslo ann@two.example"), (8, "Oslo is the house of bob@two.example")]
     texts += [(10 + k, f"the house and more words number {k} of them") for k in range(5_000)]
     safe = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts)).collect()}
-    assert [safe[k] for k in range(3)] == [
-        "the house <TERM> <EMAIL>", "the house <TERM> <PHONE>", "the house, <TERM>, <PHONE>"]
-    assert safe[3] == "the house <CARD> and Lima" and all(safe[k] == t for k, t in texts[4:])
-    few = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts[:100])).collect()}
-    assert few[0] == "the house Zanzibar <EMAIL>"
+    assert [safe[k] for k in (0, 1, 2)] == [
+        "the house Zanzibar <EMAIL>", "the house <TERM> <PHONE>", "the house, <TERM>, <PHONE>"]
+    assert safe[3] == "the house <CARD> and Lima" and all(safe[k] == t for k, t in texts[4:7])
+    assert safe[7] == "the house <TERM> <EMAIL>" and safe[8] == "<TERM> is the house of <EMAIL>"
+    few = {r.doc_id: r.text for r in personal_data.sanitise(documents(spark, texts[:60])).collect()}
+    assert few[1] == "the house Timbuktu <PHONE>"
+
+
+def slow_entities(text):
+    out = set()
+    for start, _, end, kind in slow_spans(text):
+        value = text[start:end]
+        plain = re.sub("[^0-9]", "", value)
+        whole, part = {"email": (value.lower(), "@" + value.lower().rsplit("@")[-1]),
+                       "ip": (value, ".".join(value.split(".")[:2]) + ".*")}.get(kind, (plain, plain[:6] + "*"))
+        out |= {f"{kind}:{whole}", f"{kind}:{part}"}
+    return out
+
+
+def slow_terms(texts):
+    """Revealing terms by counting every pair of an entity and a word."""
+    word = re.compile(r"(?<![^\W_])(?<![_.@%+-])[^\W\d_]{3,}(?![^\W]|@|[.-][^\W_])")
+    texts = sorted({t or "" for t in texts})
+    of = [(slow_entities(t), {w.lower() for w in word.findall(t)}) for t in texts]
+    n_entity = {e: n for e, n in Counter(e for es, _ in of for e in es).items() if n >= 2}
+    n_seen = {w: n for w, n in Counter(w for es, ws in of if es for w in ws).items() if n >= 2}
+    n_term = Counter(w for _, ws in of for w in ws)
+    n_both = Counter((e, w) for es, ws in of for e in es & n_entity.keys() for w in ws & n_seen.keys())
+    needed = math.log2(max(1, len(n_entity))) + math.log2(max(1, len(n_seen)))
+    found = {}
+    for (e, w), both in n_both.items():
+        added = 0.5 if both < 3 else 0
+        information = math.log2(len(texts) / n_entity[e])
+        pmi = math.log2(len(texts) * both / ((n_entity[e] + added) * (n_term[w] + added)))
+        if both >= 2 and information > 0 and pmi / information >= 0.9 and both * pmi >= needed:
+            found[w] = found.get(w, False) or pmi / information >= 0.97
+    return found
+
+
+def test_terms_equal_brute_force(spark):
+    rng = random.Random(11)
+    common = [f"{a}{b}word" for a in "abcdefgh" for b in "abcdefgh"]
+    rare = [f"{a}{b}{c}rare" for a in "klmno" for b in "klmno" for c in "klmno"]
+    people = [(f"{w}@d{k % 7}.example", rng.sample(rare, 2)) for k, w in enumerate(common[:30])]
+    people += [(f"10.{k}.3.{k}", rng.sample(rare, 2)) for k in range(8)] + [("+1 555 0100 99%02d" % k, rng.sample(rare, 1)) for k in range(8)]
+    texts = []
+    for k in range(500):
+        words = [rng.choice(common) for _ in range(rng.randint(3, 20))]
+        if rng.random() < 0.4:
+            value, own = rng.choice(people)
+            words += [value, *(w.upper() if rng.random() < 0.3 else w for w in own)]
+        elif rng.random() < 0.2:
+            words.append(rng.choice(rare))
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    texts += texts[:40] + [None, ""]
+    found = personal_data.find(documents(spark, list(enumerate(texts))), keep=("doc_id",))
+    want = slow_terms(texts)
+    assert len(want) > 5 and len(set(want.values())) == 2
+    rows = personal_data.all_spans(found).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        text = texts[row.keep_doc_id] or ""
+        places = [(m.start(), m.end(), want[m.group().lower()]) for m in re.finditer(r"[^\W\d_]+", text)
+                  if m.group().lower() in want]
+        assert [tuple(t) for t in row.terms] == places, text
+
+
+def test_a_list_in_two_texts_is_one_class(spark):
+    """Thousands of addresses beside thousands of words: neither time nor pairs grow with their product."""
+    lines = " ".join(f"user{k}@host{k}.example {''.join(chr(97 + int(c)) for c in f'{k:05d}')}" for k in range(3_000))
+    docs = documents(spark, [(1, lines), (2, lines + " again"), (3, "something else")])
+    found = personal_data.find(docs, keep=("doc_id",))
+    sizes = {r.keep_doc_id: (len(r.spans), len(r.terms)) for r in personal_data.all_spans(found).collect()}
+    assert sizes[1][0] == sizes[2][0] == 3_000 and sizes[3] == (0, 0)
 
 
 @pytest.mark.parametrize("gap", [30, 400])
