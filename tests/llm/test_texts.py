@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -211,10 +212,74 @@ def test_exceptions_and_folding():
     assert measure("loweix") > measure("trash") and measure("yellowei") == 0
 
 
+def slow_total(text, lexicon):
+    """Weight of the lexicon's terms at every place, one by one, outside every exception phrase."""
+    def places(folded, term):
+        return [k for k in range(len(folded)) if folded.startswith(term, k)]
+
+    def total(folded):
+        harmless = [(k, k + len(p) + 1) for p in lexicon.exceptions for k in places(folded, f" {p} ")]
+        return sum(w for t, w in lexicon.weights.items() for k in places(folded, t)
+                   if not any(a <= k and k + len(t) - 2 <= b for a, b in harmless))
+
+    folded, ends = toxicity.fold(text)
+    return total(folded) + sum(total(other) for plain, other in ends if total(plain) == 0)
+
+
+def test_matches_equal_brute_force():
+    rng = random.Random(21)
+    lexicon = toxicity.Lexicon({" trash ": 2.0, " tras": 1.0, " hats ": 4.0, " ass ": 8.0, " idiot ": 16.0, " the hat": 32.0},
+                               ("trash can", "the trash", "can the hats", "a idiot"))
+    automaton = lexicon.automaton()
+    words = ["trash", "TR4SH", "can", "the", "hat5", "hats", "a$$", "idio7", "idiot!", "a", "trasher", "h@t", "5", "!!", "mail5"]
+    for _ in range(400):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", "\n", ", ", ""]) for _ in range(rng.randint(0, 12)))
+        want = slow_total(text, lexicon)
+        assert abs(toxicity.measures(text, automaton)[1] - np.log1p(want)) < 1e-9, text
+
+
+def test_word_ends_are_folded_only_where_that_finds_something():
+    automaton = toxicity.Lexicon({" idiot ": 2.0, " ass ": 2.0, " mail5 ": 3.0}, ()).automaton()
+    found = {t: toxicity.measures(t, automaton)[1] > 0 for t in ("idio7", "a$$", "idiot!", "DE!!", "mail", "hat3", "a")}
+    assert found == {"idio7": True, "a$$": True, "idiot!": True, "DE!!": False, "mail": False, "hat3": False, "a": False}
+
+
+def test_many_hits_and_exceptions_take_linear_time():
+    automaton = toxicity.Lexicon({" trash ": 2.0}, ("trash can",)).automaton()
+    start = time.process_time()
+    assert toxicity.measures("trash can " * 40_000, automaton)[1] == 0
+    assert time.process_time() - start < 3
+
+
+def test_harmless_phrases_are_learned(spark):
+    rng = random.Random(4)
+    words = [f"plain{k}" for k in range(60)]
+    rows, labels = [], []
+    for k in range(400):
+        text = [rng.choice(words) for _ in range(40)]
+        text[5:5] = [rng.choice(words), "moron"] if k % 4 == 0 else ["oxy", "moron"] if k % 60 == 1 else ["fine", "thing"]
+        rows.append((k, " ".join(text)))
+        labels.append((k, 1, int(k % 4 == 0)))
+    docs = documents(spark, rows)
+    lexicon = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), exceptions=())
+    assert "oxy moron" in lexicon.exceptions and " moron " in lexicon.weights
+    assert not any(p.startswith("plain") and p.endswith(" moron") for p in lexicon.exceptions)
+    wrong = toxicity.toxicity(docs, lexicon).where("predicted <> cast(id % 4 = 0 as int)")
+    assert wrong.count() == 0
+
+
+@pytest.mark.parametrize("kept", ["doc_id < 0", "toxic = 0", "toxic = 1"])
+def test_without_labels_of_both_kinds_nothing_is_dropped(spark, kept):
+    docs, labels = labelled(spark)
+    lexicon = toxicity.fit(docs, labels.where(kept))
+    assert toxicity.toxicity(docs, lexicon).where("score >= 0.5 or predicted = 1").count() == 0
+    assert toxicity.drop_toxic(docs, lexicon).count() == docs.count()
+
+
 def test_no_labels(spark):
     docs, labels = labelled(spark)
     none = labels.where("doc_id < 0")
-    assert toxicity.toxicity(docs, toxicity.fit(docs, none)).count() == docs.count()
+    assert toxicity.toxicity(docs.limit(0), toxicity.fit(docs.limit(0), none)).count() == 0
     assert factorization.quality(docs, factorization.fit(docs, none)).count() == docs.count()
     model = mixing.fit(docs, none.selectExpr("doc_id", "'a' domain"), ("a", "b"), "domain")
     assert mixing.rates(docs, model, {"a": 1.0, "b": 1.0}).count() == docs.count()
