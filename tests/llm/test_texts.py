@@ -255,7 +255,7 @@ def test_harmless_phrases_are_learned(spark):
     rng = random.Random(4)
     words = [f"plain{k}" for k in range(60)]
     rows, labels = [], []
-    for k in range(400):
+    for k in range(1600):
         text = [rng.choice(words) for _ in range(40)]
         text[5:5] = [rng.choice(words), "moron"] if k % 4 == 0 else ["oxy", "moron"] if k % 60 == 1 else ["fine", "thing"]
         rows.append((k, " ".join(text)))
