@@ -35,27 +35,28 @@ def conversion_book(prices: DataFrame, targets: Sequence[str] = REPORTING_CURREN
     """Per (quote, date): for target i its onward price and its reverse divisor.
 
     A stage given writes the book, and before it the distinct quote currencies,
-    whatever their size.
+    whatever their size. A price row yields its two uses, as a price in a target
+    and as the price of a target, in one pass; uses no other price can make of are
+    left out before the shuffle.
     """
     quotes = stage.always(
-        prices.select(F.col("currency").alias("quote")).distinct(), "quotes")
-    onward = (prices.filter(is_one_of(F.col("currency"), targets))
-              .withColumnRenamed("ticker", "quote")
-              .join(quotes, "quote", "left_semi")
-              .select("quote", "calendar_date", F.col("currency").alias("target"),
-                      F.col("price").alias("onward"), F.lit(None).cast("double").alias("reverse")))
-    reverse = (prices.filter(is_one_of(F.col("ticker"), targets))
-               .select(F.col("currency").alias("quote"), "calendar_date",
-                       F.col("ticker").alias("target"),
-                       F.lit(None).cast("double").alias("onward"),
-                       F.col("price").alias("reverse")))
+        prices.select(F.col("currency").alias("used")).distinct(), "quotes")
+    none = F.lit(None).cast("double")
+    ticker, currency, price = F.col("ticker"), F.col("currency"), F.col("price")
+    entries = F.array(
+        F.struct(is_one_of(currency, targets).alias("open"), ticker.alias("quote"),
+                 currency.alias("target"), price.alias("onward"), none.alias("reverse")),
+        F.struct(is_one_of(ticker, targets).alias("open"), currency.alias("quote"),
+                 ticker.alias("target"), none.alias("onward"), price.alias("reverse")))
+    routes = (prices.filter(is_one_of(currency, targets) | is_one_of(ticker, targets))
+              .select("calendar_date", F.inline(entries)).filter("open")
+              .join(quotes, F.col("quote") == F.col("used"), "left_semi"))
     cells = []
     for i, target in enumerate(targets):
         hit = F.col("target") == target
         cells.append(F.min(F.when(hit, F.col("onward"))).alias(f"onward_{i}"))
         cells.append(F.min(F.when(hit, F.col("reverse"))).alias(f"reverse_{i}"))
-    book = onward.unionByName(reverse).groupBy("quote", "calendar_date").agg(*cells)
-    return stage.always(book, "conversion_book")
+    return stage.always(routes.groupBy("quote", "calendar_date").agg(*cells), "conversion_book")
 
 
 def _with_book(prices: DataFrame, book: DataFrame) -> DataFrame:
@@ -89,8 +90,11 @@ def conversions(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES
 
 
 def best_routes(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                stage=LAZY) -> DataFrame:
-    """One row per price row and target: its best route, NULL where it has none."""
+                stage=LAZY, book: DataFrame | None = None) -> DataFrame:
+    """One row per price row and target: its best route, NULL where it has none.
+
+    The ``book`` is that of these prices unless one of more prices is given.
+    """
     entries = []
     for i, target in enumerate(targets):
         routes = _routes(i, target)
@@ -98,7 +102,8 @@ def best_routes(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES
             F.lit(target).alias("currency"),
             case((is_open, F.lit(number)) for number, is_open, _ in routes).alias("priority"),
             case((is_open, price) for _, is_open, price in routes).alias("price")))
-    return (_with_book(prices, conversion_book(prices, targets, stage))
+    book = conversion_book(prices, targets, stage) if book is None else book
+    return (_with_book(prices, book)
             .select("ticker", "quote", "calendar_date", F.inline(F.array(*entries))))
 
 
@@ -127,7 +132,7 @@ def consolidation(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCI
 
 
 def exchange_rates(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
-                   stage=LAZY) -> DataFrame:
+                   stage=LAZY, book: DataFrame | None = None) -> DataFrame:
     """ticker, currency, calendar_month, price: one rate per month and target.
 
     The best route of the month wins; equal ones are settled by the latest
@@ -141,7 +146,7 @@ def exchange_rates(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENC
     preference = F.struct(
         F.col("priority"), (-F.dayofmonth("calendar_date")).alias("recency"),
         F.col("quote"), F.col("price"))
-    return (best_routes(prices, targets, stage)
+    return (best_routes(prices, targets, stage, book)
             .withColumn("calendar_month", dates.month_start(F.col("calendar_date")))
             .groupBy("ticker", "currency", "calendar_month")
             .agg(F.min(F.when(routed, preference)).alias("best"),
@@ -149,3 +154,39 @@ def exchange_rates(prices: DataFrame, targets: Sequence[str] = REPORTING_CURRENC
                  F.bit_or(F.when(routed, day_bit).otherwise(F.lit(0))).alias("served"))
             .select("ticker", "currency", "calendar_month",
                     F.when(F.col("seen") == F.col("served"), F.col("best.price")).alias("price")))
+
+
+CELL = ["ticker", "calendar_month"]
+
+
+def touched_cells(prices: DataFrame, added: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
+                  stage=LAZY) -> DataFrame:
+    """(ticker, calendar_month) of every rate that ``added`` prices can have changed.
+
+    A price touches its own ticker. Priced in a target it also serves, as onward route,
+    all prices quoted in its ticker on that date; as the price of a target it serves, as
+    reverse route, all prices quoted in its currency. ``prices`` holds the added ones too.
+    """
+    month = dates.month_start(F.col("calendar_date"))
+    ticker, currency = F.col("ticker"), F.col("currency")
+    served = F.filter(F.array(F.when(is_one_of(currency, targets), ticker),
+                              F.when(is_one_of(ticker, targets), currency)), lambda q: q.isNotNull())
+    quotes = stage.always(added.select(F.explode(served).alias("currency"), "calendar_date").distinct(),
+                          "touched_quotes")
+    through = prices.join(quotes, ["currency", "calendar_date"], "left_semi").select(
+        "ticker", month.alias("calendar_month"))
+    own = added.select("ticker", month.alias("calendar_month"))
+    return stage.always(own.unionByName(through).distinct(), "touched_cells")
+
+
+def rates_of_cells(prices: DataFrame, cells: DataFrame, targets: Sequence[str] = REPORTING_CURRENCIES,
+                   stage=LAZY) -> DataFrame:
+    """The exchange rates of some (ticker, calendar_month) cells.
+
+    Only prices of these months are grouped, and only those of the cells looked up.
+    """
+    months = cells.select("calendar_month").distinct()
+    dated = prices.withColumn("calendar_month", dates.month_start(F.col("calendar_date")))
+    book = conversion_book(dated.join(months, "calendar_month", "left_semi"), targets, stage)
+    return exchange_rates(dated.join(cells, CELL, "left_semi").drop("calendar_month"),
+                          targets, stage, book)

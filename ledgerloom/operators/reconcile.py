@@ -86,13 +86,17 @@ def ledger_flows(transactions: DataFrame, exchanges: DataFrame,
                         .unionByName(transfer_legs(transfers)))
 
 
-def add_movements(flows: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Flows after further transactions, without reading the ledger again."""
-    further = summed_flows(cash_legs(transactions))
+def merged_flows(flows: DataFrame, further: DataFrame) -> DataFrame:
+    """Two sets of sums as one; a flow that neither has stays NULL."""
     return (flows.unionByName(further).groupBy("account", "currency")
             .agg(*[F.sum(name).alias(name) for name in FLOWS]))
 
 
+def add_movements(flows: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Flows after further transactions, without reading the ledger again."""
+    return merged_flows(flows, summed_flows(cash_legs(transactions)))
+
+
 def against_flows(balances: DataFrame, flows: DataFrame,
                   settings: LedgerSettings = LedgerSettings()) -> DataFrame:
     """Each latest stated balance beside the balance the flows add up to."""

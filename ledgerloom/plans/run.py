@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions import dates
 from ledgerloom.operators import ingest, maintenance, reconcile
+from ledgerloom.plans.advance import AdvancedTables
 from ledgerloom.plans.ledger import Ledger, LedgerTables
-from ledgerloom.settings import EXPENSES, LedgerSettings
+from ledgerloom.settings import EXPENSES, FIX_CATEGORY, FIX_TAG, LedgerSettings
 from ledgerloom.sources import csv_files
 from ledgerloom.sources.snapshots import SnapshotTables
 
@@ -108,7 +109,7 @@ def checked_rows(tables: SnapshotTables, dataset: str, path: str, stage) -> Data
 
 
 def kept_fixes(tables: SnapshotTables, loaded: DataFrame) -> DataFrame | None:
-    """Fixes that earlier settlements booked and that ``loaded`` does not hold already."""
+    """Fixes that earlier settlements booked and that the ``loaded`` rows do not hold already."""
     if tables.current(FIXES) is None:
         return None
     fixes = tables.read(FIXES, FIX_SCHEMA)
@@ -123,7 +124,8 @@ def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[s
     The table is replaced, or added to where the first extract is an additive one.
     Rows are checked before anything is published. Ids are assigned from 1, or
     on from the table's highest, so they need no check. Fixes that were booked
-    on the expenses stay booked when the transactions are loaded afresh.
+    on the expenses stay booked when the transactions are loaded afresh; those that
+    the extract or the table holds are not loaded once more.
     """
     if isinstance(datasets, str):
         datasets, paths = [datasets], {datasets: paths}
@@ -136,7 +138,10 @@ def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[s
         except Exception as error:
             raise LoadError(f"loading {dataset} failed: {error}") from error
     if "expenses" in datasets:
-        fixes = kept_fixes(tables, parts[-1])
+        held = parts[-1]
+        if adds:
+            held = held.unionByName(tables.read(table, schemas.TABLES[table]), allowMissingColumns=True)
+        fixes = kept_fixes(tables, held)
         if fixes is not None:
             parts.append(stage.always(fixes, "fixes"))
     if table in WITH_IDS:
@@ -199,11 +204,13 @@ def settle(tables: SnapshotTables, settings: LedgerSettings, stage,
            adjusted_csv: str | None = None) -> Outcome:
     """Validate the ledger and adjust small discrepancies, or leave it as it was.
 
-    The ledger is summed once; the verdict, the fixes and the check of the fixes
-    all read those sums. The fixes are checked before they are published, so a
+    The ledger is summed once, or only what was added to the sums kept from the last
+    time; the verdict, the fixes and the check of the fixes all read those sums. The fixes are checked before they are published, so a
     failed adjustment has nothing to undo. Only verdicts reach the driver.
     """
-    ledger = Ledger(open_tables(tables), settings, stage, ("flows",))
+    ledger = Ledger(open_tables(tables), settings, stage)
+    # Only what was added since the last settlement is summed.
+    ledger.flows = AdvancedTables(tables, stage, settings).flows()
     if ledger.validation_report.isEmpty():
         return Outcome.VALID
     if ledger.adjustment_flag.first()["adjust_allowed"] is not True:
@@ -213,13 +220,25 @@ def settle(tables: SnapshotTables, settings: LedgerSettings, stage,
     if not reconcile.validation_report(checked, settings).isEmpty():
         return Outcome.ROLLED_BACK
     numbered = maintenance.assign_ids(booked, _next_id(ledger.tables.transactions), stage=stage)
-    tables.append(FIXES, booked.select(*FIX_SCHEMA.names))
+    # In this order: fixes that are booked but not recorded are worked out again after the next load.
     tables.append("transactions", numbered.select(*schemas.TRANSACTIONS.names))
+    tables.append(FIXES, booked.select(*FIX_SCHEMA.names))
     if adjusted_csv:
         export_expenses(tables, adjusted_csv)
     return Outcome.ADJUSTED
 
 
+def take_back_fixes(tables: SnapshotTables, predicate: Column) -> None:
+    """Remove booked fixes for which the predicate (over transaction columns) is true.
+
+    They leave the record first, so that no later load books them again.
+    """
+    fix = (F.col("tag") == FIX_TAG) & (F.col("category") == FIX_CATEGORY) & predicate
+    if tables.current(FIXES) is not None:
+        tables.publish(FIXES, maintenance.delete_where(tables.read(FIXES, FIX_SCHEMA), fix))
+    delete_from(tables, "transactions", fix)
+
+
 def export_expenses(tables: SnapshotTables, path: str) -> None:
     """The expense side of the ledger as an extract: positive amounts, day-first dates."""
     names = csv_files.EXTRACTS["expenses"][0].names

@@ -45,12 +45,20 @@ class SnapshotTables:
                 return number
         return None
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+    def extent(self, table: str) -> tuple[int, int]:
+        """The current snapshot and its last committed part."""
         number = self.current(table)
         if number is None:
             raise LookupError(f"table {table} has no committed snapshot under {self.root}")
+        return number, self._numbers(self._snapshot(table, number), "part", committed=True)[-1]
+
+    def read(self, table: str, schema: T.StructType | None = None,
+             extent: tuple[int, int] | None = None, after: int = -1) -> DataFrame:
+        """The table, or the parts that follow ``after`` up to an ``extent`` seen earlier."""
+        number, last = extent or self.extent(table)
         folder = self._snapshot(table, number)
-        parts = [f"{folder}/part={k}" for k in self._numbers(folder, "part", committed=True)]
+        parts = [f"{folder}/part={k}" for k in self._numbers(folder, "part", committed=True)
+                 if after < k <= last]
         reader = self.spark.read.option("basePath", folder)
         if schema is None:
             return reader.parquet(*parts).drop("part")

@@ -166,3 +166,48 @@ def test_rows_that_break_a_constraint_are_not_loaded(start, changed, problem):
     with pytest.raises(runs.LoadError, match=problem):
         runs.load_all(tables, files, stage, tuple(changed))
     assert tables.current(runs.TARGET[next(iter(changed))]) is None
+
+
+def test_one_more_expenses_file_does_not_load_fixes_twice(start, spark, tmp_path):
+    tables, files, stage = start("A,31/1/2023,USD,52.5", "B,31/1/2023,USD,7")
+    assert runs.run(tables, files, stage) is runs.Outcome.ADJUSTED
+    fixes = lambda: sorted(r[2] for r in ledger_rows(tables) if r[1] == "Fix")
+    booked = fixes()
+    more = tmp_path / "more.csv"
+    more.write_text(MOVEMENT + "bus,5,A,16/01/2023,Home,Travel,USD,True\n")
+    runs.load(tables, "expenses", str(more), stage)
+    assert fixes() == booked and len(ledger_rows(tables)) == 2 + len(booked) + 1
+    # Loaded afresh one after the other, the income clears the table and the expenses bring the fixes back.
+    runs.load(tables, "income", files.extracts["income"], stage)
+    assert fixes() == []
+    runs.load(tables, "expenses", files.extracts["expenses"], stage)
+    assert fixes() == booked
+
+
+def test_a_settlement_that_dies_between_its_writes_is_done_again(start, monkeypatch):
+    tables, files, stage = start("A,31/1/2023,USD,52.5", "B,31/1/2023,USD,7")
+    append = SnapshotTables.append
+
+    def failing(self, table, df, partition_by=()):
+        if table == runs.FIXES:
+            raise OSError("lost")
+        return append(self, table, df, partition_by)
+
+    monkeypatch.setattr(SnapshotTables, "append", failing)
+    with pytest.raises(OSError):
+        runs.run(tables, files, stage)
+    monkeypatch.undo()
+    assert runs.settle(tables, LedgerSettings(), stage) is runs.Outcome.VALID
+    assert runs.run(tables, files, stage) is runs.Outcome.ADJUSTED
+    assert len([r for r in ledger_rows(tables) if r[1] == "Fix"]) == 2
+    assert runs.run(tables, files, stage) is runs.Outcome.VALID
+    assert len([r for r in ledger_rows(tables) if r[1] == "Fix"]) == 2
+
+
+def test_a_fix_taken_back_stays_away(start):
+    tables, files, stage = start("A,31/1/2023,USD,52.5", "B,31/1/2023,USD,7")
+    runs.run(tables, files, stage)
+    runs.take_back_fixes(tables, F.col("account") == "B")
+    assert [r.account for r in tables.read("transactions").filter("tag = 'Fix'").collect()] == ["A"]
+    runs.load_all(tables, files, stage)
+    assert [r.account for r in tables.read("transactions").filter("tag = 'Fix'").collect()] == ["A"]

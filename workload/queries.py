@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,12 @@ from ledgerloom.functions.values import sanitize
 from ledgerloom.operators import (
     fx, ingest, maintenance, mapping, positions, reconcile, reports, trades,
 )
+from ledgerloom.plans import run as runs
+from ledgerloom.plans.advance import AdvancedTables
 from ledgerloom.plans.ledger import Ledger
 from ledgerloom.settings import EXPENSES, INCOME, LedgerSettings
 from ledgerloom.sources import csv_files
+from ledgerloom.sources.snapshots import SnapshotTables
 from workload.fixtures import ledger_tables, session_stage, source, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +253,44 @@ def adjusted_validation(spark, sf_dir):
     return book.reconciliation_after(ingest.tag_expenses(book.adjustment_entries))
 
 
+# --- derived tables brought up to date ----------------------------------------
+
+def advanced(spark: SparkSession, sf_dir: str, derived: str) -> AdvancedTables:
+    """The ledger loaded in three steps, with a derived table advanced after each of the first two.
+
+    The second step adds movements and prices of all years, so earlier months change.
+    """
+    tables = SnapshotTables(spark, f"{session_stage(spark).folder}/ledger-{uuid.uuid4().hex[:8]}")
+    state = AdvancedTables(tables, session_stage(spark), SETTINGS)
+    tables.publish("balances", view(spark, sf_dir, "balances"), ("calendar_date",))
+    number = {"prices": F.dayofyear("calendar_date") + F.length("ticker")}
+    for step, turns in enumerate(((0, 3), (4, 5), (6, 6))):
+        for name in ("transactions", "exchanges", "transfers", "prices"):
+            turn = F.pmod(number.get(name, F.col("id")), F.lit(7))
+            tables.append(name, view(spark, sf_dir, name).filter(turn.between(*turns)))
+        if step < 2:
+            getattr(state, derived)()
+    return state
+
+
+@query
+def exchange_rates_advanced(spark, sf_dir):
+    return advanced(spark, sf_dir, "rates").rates()[0]
+
+
+@query
+@rounded(2, "units", "avg_units", "prev_position", "position", "avg_position",
+         "c_position", "c_avg_position", "c_value")
+def positions_advanced(spark, sf_dir):
+    return advanced(spark, sf_dir, "positions").positions()
+
+
+@query
+@rounded(2, "balance", "calculated_balance", "difference", *reconcile.FLOWS)
+def reconciliation_advanced(spark, sf_dir):
+    return advanced(spark, sf_dir, "flows").reconciliation()
+
+
 # --- ingest -------------------------------------------------------------------
 
 def unsigned(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -364,6 +405,49 @@ def concat_adjustments(spark, sf_dir):
     return ingest.append_rows(expenses, ledger(spark, sf_dir).adjustment_entries)
 
 
+# --- whole runs ---------------------------------------------------------------
+
+def loaded(spark: SparkSession, sf_dir: str) -> SnapshotTables:
+    """The ledger, written as extracts and loaded in order."""
+    folder = f"{session_stage(spark).folder}/run-{uuid.uuid4().hex[:8]}"
+    day = dates.format_day_first(F.col("calendar_date"))
+    extracts = {"income": unsigned(spark, sf_dir, INCOME), "expenses": unsigned(spark, sf_dir, EXPENSES)}
+    extracts |= {extract: view(spark, sf_dir, name) for extract, name in (
+        ("exchange", "exchanges"), ("transf", "transfers"), ("balances", "balances"))}
+    for name, rows in extracts.items():
+        csv_files.write_csv(rows.drop("id").withColumn("calendar_date", day), f"{folder}/{name}.csv")
+    csv_files.write_csv(price_matrix(spark, sf_dir), f"{folder}/prices.csv")
+    tables = SnapshotTables(spark, f"{folder}/tables")
+    paths = {name: f"{folder}/{name}.csv" for name in runs.LOAD_ORDER}
+    runs.load_all(tables, runs.LedgerFiles(paths, f"{folder}/reports"), session_stage(spark))
+    tables.publish("category_mapping", view(spark, sf_dir, "category_mapping"))
+    return tables
+
+
+@query
+@rounded(2, "total")
+def pipeline_load(spark, sf_dir):
+    """What each table holds after a load: rows, and the sum of its amounts."""
+    tables, found = loaded(spark, sf_dir), []
+    for name, amount in (("transactions", "amount"), ("exchanges", "units"), ("transfers", "amount"),
+                         ("balances", "amount"), ("prices", "price")):
+        found.append(tables.read(name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n"),
+                                           F.sum(amount).alias("total")))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+@rounded(2, "balance", "calculated_balance", "difference", *reconcile.FLOWS)
+def pipeline_settle(spark, sf_dir):
+    """The reconciliation after a load and a settlement that may adjust any difference."""
+    tables = loaded(spark, sf_dir)
+    settings = LedgerSettings(scale=2, tolerances=((1e12, ("USD",)),), default_tolerance=1e12)
+    outcome = runs.settle(tables, settings, session_stage(spark))
+    if outcome is not runs.Outcome.ADJUSTED:
+        raise RuntimeError(f"settled as {outcome}")
+    return AdvancedTables(tables, session_stage(spark), settings).reconciliation()
+
+
 # --- table maintenance --------------------------------------------------------
 
 @query
