@@ -3,15 +3,17 @@
 A softmax classifier, fitted on a labelled table, gives every document a
 probability of each domain. A document of w tokens sampled at rate r adds
 ``r * w * p_k`` expected tokens to domain k. The rates minimise the squared distance
-between those totals and the targets (weighted by the inverse of
-``M = sum w p p^T``, so that rare domains count) over all rates >= 0, by projected
-gradient: every iteration is one aggregate of K numbers over all documents,
-followed by ``r <- max(0, r - p . M^-1 residual)`` beside each row. Only the K residuals of
-each iteration reach the driver. The rates start at one, so documents differ from
-that only as the targets ask.
+between those totals and the targets over all rates >= 0, and among the rates that do so they
+are the nearest to one (by a small ``ridge``), so documents differ from that only as
+the targets ask. That is a projected gradient whose steps add up before they are
+projected: every pass is one aggregate over all documents that gives K residuals and
+``M = sum w p p^T`` over the rows whose rate is positive; ``l <- l + s (M + ridge)^-1 gradient``, with
+a step s that is halved until the distance falls; and the rate beside each row is
+``max(0, 1 - p . l)``. Only the sums of a pass reach the driver.
 
 Targets are weights; their sum is scaled to ``budget`` times the tokens there are.
-A domain without any expected tokens cannot be filled and keeps its residual.
+Targets that no rates meet, such as those of a domain without any expected tokens, are
+approached as far as rates can; ``fit_rates`` tells what is left.
 Null and empty texts have no tokens, and rates by their posteriors alone. Repeated
 rows get equal rates. An empty table gives an empty result; without labels all
 domains are equally probable.
@@ -85,53 +87,104 @@ def describe(model: DomainModel, text: Column) -> Column:
     return run.asNondeterministic()(F.coalesce(text, F.lit("")))
 
 
-def rate_after(history: list[list[float]], p: Column) -> Column:
-    """A document's rate after the steps in ``history``, each a vector of K numbers."""
-    if not history:
+def rate_at(moved: list[float], p: Column) -> Column:
+    """A document's rate where the gradients add up to ``moved``, a number for each domain."""
+    if not moved:
         return F.lit(1.0)
-    steps = F.array(*[F.array(*map(F.lit, step)) for step in history])
-    return F.aggregate(steps, F.lit(1.0), lambda rate, step: F.greatest(
-        F.lit(0.0), rate - F.aggregate(F.zip_with(p, step, lambda a, b: a * b), F.lit(0.0),
-                                       lambda total, x: total + x)))
+    product = F.zip_with(p, F.array(*map(F.lit, moved)), lambda a, b: a * b)
+    return F.greatest(F.lit(0.0), 1.0 - F.aggregate(product, F.lit(0.0), lambda total, x: total + x))
 
 
-def fit_rates(table: DataFrame, targets: list[float], budget: float = 1.0, most: int = 30,
-              tolerance: float = 1e-4) -> list[list[float]]:
-    """The steps of the projected gradient for ``tokens, p`` rows."""
+def weighted_sums(table: DataFrame, moved: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Over all rows: tokens, tokens * rate^2, tokens * rate * p, and of the rows with a positive
+    rate tokens * p p^T. Every task adds up its rows first."""
+    k = len(moved)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = np.zeros(2 + k + k * k)
+        for batch in batches:
+            if len(batch):
+                tokens, p = batch["tokens"].to_numpy(float), np.stack(batch["p"].to_numpy())
+                rate = np.maximum(0.0, 1.0 - p @ moved)
+                held = np.where(rate > 0, tokens, 0.0)
+                found += np.concatenate([[tokens.sum(), (tokens * rate * rate).sum()], p.T @ (rate * tokens),
+                                         ((p * held[:, None]).T @ p).ravel()])
+        yield pd.DataFrame({"cell": np.arange(len(found), dtype=np.int32), "value": found})
+
+    cells = {r.cell: r.value for r in table.select("tokens", "p").mapInPandas(run, "cell int, value double")
+             .groupBy("cell").agg(F.sum("value").alias("value")).collect()}
+    sums = np.array([cells.get(j, 0.0) for j in range(2 + k + k * k)])
+    return float(sums[0]), float(sums[1]), sums[2:2 + k], sums[2 + k:].reshape(k, k)
+
+
+@dataclass(frozen=True)
+class RateFit:
+    """The sum of the gradients; what each domain has more than its target, as a share of all
+    tokens; and the number of passes over the rows."""
+    moved: list[float]
+    residual: np.ndarray
+    passes: int
+
+
+def fit_rates(table: DataFrame, targets: list[float], budget: float = 1.0, ridge: float = 1e-6,
+              tolerance: float = 1e-6, limit: int = 200) -> RateFit:
+    """The projected gradient for ``tokens, p`` rows.
+
+    Ends at the least squared distance, where what is left of the gradient is at most ``tolerance``
+    of all tokens. More than ``limit`` passes over the rows are an error.
+    """
     k = len(targets)
-    goal = np.array(targets, dtype=float)
-    cells = [F.sum(F.col("tokens") * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(k)]
-    first = table.agg(F.sum("tokens").alias("all"), *cells).first()
-    if not first[0]:
-        return []
-    weigh = np.linalg.pinv(np.array([x or 0.0 for x in first[1:]]).reshape(k, k), rcond=1e-9)
-    goal = goal / goal.sum() * first[0] * budget
-    history: list[list[float]] = []
-    for _ in range(most):
-        rate = rate_after(history, F.col("p"))
-        sums = table.withColumn("rate", rate).agg(
-            *[F.sum(F.col("rate") * F.col("tokens") * F.col("p")[i]) for i in range(k)]).first()
-        residual = np.array(list(sums)) - goal
-        if np.abs(residual).max() <= tolerance * first[0]:
-            break
-        # Digits that the order of summation could change are cut off.
-        history.append([float(f"{x:.9g}") for x in weigh @ residual])
-    return history
+    moved = np.zeros(k)
+    every, squares, expected, active = weighted_sums(table, moved)
+    if not every:
+        return RateFit([], np.zeros(k), 1)
+    goal = np.array(targets, dtype=float) / sum(targets) * every * budget
+    ridge, passes = ridge * every, 1
+
+    def dual(at: np.ndarray, squares: float) -> float:
+        """The dual of the distance, which every step lowers; its slope is minus the gradient."""
+        return float(0.5 * squares + at @ goal + 0.5 * ridge * at @ at)
+
+    while True:
+        gradient = expected - goal - ridge * moved
+        if np.abs(gradient).max() <= tolerance * every:
+            return RateFit(moved.tolist(), (expected - goal) / every, passes)
+        direction = np.linalg.solve(active + ridge * np.eye(k), gradient)
+        size, here = 1.0, dual(moved, squares)
+        while True:
+            if passes >= limit:
+                raise RuntimeError(f"rates did not settle in {limit} passes")
+            # Digits that the order of summation could change are cut off.
+            there = np.array([float(f"{x:.12g}") for x in moved + size * direction])
+            _, squares, expected, active = weighted_sums(table, there)
+            passes += 1
+            if dual(there, squares) <= here - 1e-4 * size * (gradient @ direction):
+                break
+            size /= 2
+        moved = there
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores after it as make it new among the columns."""
+    while name in columns:
+        name += "_"
+    return name
 
 
 def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], budget: float = 1.0,
         text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens``, ``posteriors`` (by domain, in the model's order) and ``rate``.
 
-    The sums run over a written table of tokens and posteriors, not the texts.
+    A column of ``docs`` that has one of these names stays; the new one gets an underscore
+    more. Each text is read once: its description is written beside its row.
     """
-    described = docs.withColumn("__mix", describe(model, F.col(text_col)))
-    table = written(described.select("__mix.*"), "mixing")
-    history = fit_rates(table, [targets.get(d, 0.0) for d in model.domains], budget)
-    return (described.withColumn("n_tokens", F.col("__mix.tokens"))
-            .withColumn("posteriors", F.col("__mix.p"))
-            .withColumn("rate", F.round(rate_after(history, F.col("posteriors")), 6))
-            .drop("__mix"))
+    mark = free_name(docs.columns, "mix")
+    described = written(docs.withColumn(mark, describe(model, F.col(text_col))), "mixing-docs")
+    fitted = fit_rates(described.select(f"{mark}.*"), [targets.get(d, 0.0) for d in model.domains], budget)
+    p = F.col(mark)["p"]
+    new = {"n_tokens": F.col(mark)["tokens"], "posteriors": p, "rate": F.round(rate_at(fitted.moved, p), 6)}
+    return described.select(*[F.col(f"`{c}`") for c in docs.columns],
+                            *[value.alias(free_name(docs.columns, name)) for name, value in new.items()])
 
 
 def rates(docs: DataFrame, model: DomainModel, targets: dict[str, float], budget: float = 1.0,
@@ -139,9 +192,9 @@ def rates(docs: DataFrame, model: DomainModel, targets: dict[str, float], budget
     """``id, n_tokens, posteriors, rate`` of every row; each text is read once."""
     described = docs.select(F.col(id_col).alias("id"), describe(model, F.col(text_col)).alias("d"))
     table = written(described.select("id", "d.tokens", "d.p"), "mixing")
-    history = fit_rates(table, [targets.get(d, 0.0) for d in model.domains], budget)
+    fitted = fit_rates(table, [targets.get(d, 0.0) for d in model.domains], budget)
     return table.select("id", F.col("tokens").alias("n_tokens"), F.col("p").alias("posteriors"),
-                        F.round(rate_after(history, F.col("p")), 6).alias("rate"))
+                        F.round(rate_at(fitted.moved, F.col("p")), 6).alias("rate"))
 
 
 def copies(rate: Column, key: Column, seed: int = 0) -> Column:

@@ -311,3 +311,43 @@ def test_rates_meet_the_targets(spark):
     assert abs(totals.g / totals.a - 0.9) < 1e-3 and abs(totals.p / totals.a - 0.1) < 1e-3
     mixed = mixing.mix(docs, model, {"good": 0.9, "poor": 0.1})
     assert mixed.columns[:5] == docs.columns and mixed.count() == docs.count()
+
+
+def slow_nearest(tokens, p, goal):
+    """Least squares over nonnegative rates by many plain projected steps; the distance reached."""
+    a = (p * tokens[:, None]).T
+    weigh = np.linalg.pinv(a @ p)
+    rate = np.ones(len(p))
+    scale = np.linalg.norm(p @ weigh @ a, 2)
+    for _ in range(20_000):
+        rate = np.maximum(0, rate - p @ weigh @ (a @ rate - goal) / scale)
+    return np.abs(a @ rate - goal).max() / tokens.sum()
+
+
+@pytest.mark.parametrize("k, targets, reachable", [
+    (3, [0.98, 0.01, 0.01], True), (3, [1.0, 0.0, 0.0], False),
+    (20, [k + 1.0 for k in range(20)], True), (20, [1.0] * 3 + [0.05] * 17, False)])
+def test_rates_reach_what_can_be_reached(spark, k, targets, reachable):
+    rng = np.random.default_rng(k)
+    p = rng.dirichlet(np.full(k, 0.15), 600)
+    p[:, -1] = np.maximum(p[:, -1], 0.0 if reachable else 0.02)
+    p = np.round(p / p.sum(axis=1, keepdims=True), 6)
+    tokens = rng.integers(1, 400, 600)
+    table = spark.createDataFrame([(int(t), row.tolist()) for t, row in zip(tokens, p)], "tokens bigint, p array<double>")
+    fitted = mixing.fit_rates(table, targets)
+    got = np.abs(fitted.residual).max()
+    goal = np.array(targets) / sum(targets) * tokens.sum()
+    assert (got <= 1e-3) == reachable and fitted.passes < 60
+    assert got < slow_nearest(tokens.astype(float), p, goal) + 2e-3
+    rate = np.array([r[0] for r in table.select(mixing.rate_at(fitted.moved, table.p)).collect()])
+    assert rate.min() >= 0
+    assert np.allclose((p * (tokens * rate)[:, None]).sum(axis=0) - goal, fitted.residual * tokens.sum(), atol=1e-6 * tokens.sum())
+
+
+def test_columns_of_the_documents_stay(spark):
+    docs, labels = labelled(spark)
+    docs = docs.selectExpr("*", "7.5D rate", "'x' n_tokens", "3 mix")
+    domains = labels.selectExpr("doc_id", "case when quality = 1 then 'good' else 'poor' end domain")
+    mixed = mixing.mix(docs, mixing.fit(docs, domains, ("good", "poor"), "domain"), {"good": 1.0, "poor": 1.0})
+    assert mixed.columns == [*docs.columns, "n_tokens_", "posteriors", "rate_"]
+    assert mixed.where("rate = 7.5 and n_tokens = 'x' and rate_ >= 0").count() == docs.count()
