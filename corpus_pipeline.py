@@ -48,8 +48,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = domain_labels(table(spark, sf_dir, "labels"))
     model = mixing.fit(docs, labels, tuple(TARGETS), "domain")
     mixed = mixing.mix(docs, model, TARGETS)
-    drawn = mixed.withColumn("copies", mixing.copies(F.col("rate"), F.col("doc_id")))
-    return drawn.where("copies > 0").drop("posteriors")
+    rate, copies, posteriors = (mixing.free_name(docs.columns, c) for c in ("rate", "copies", "posteriors"))
+    drawn = mixed.withColumn(copies, mixing.copies(F.col(rate), F.col("doc_id")))
+    return drawn.where(F.col(copies) > 0).drop(posteriors)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),
