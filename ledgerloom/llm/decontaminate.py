@@ -1,12 +1,18 @@
-"""Benchmark items inside documents: exact containment search by prefixes.
+"""Benchmark items inside documents: containment search by size-partitioned MinHash.
 
 An item is a set of word shingles. ``containment`` is the share of an item's distinct
-shingles found anywhere in the document, reported from ``threshold`` on. A document
-that holds that share lacks few enough of them that it holds at least one of any
-``prefix`` of the item that is longer than what it may lack; so the rarest shingles
-among the items, as many as that takes, are looked up for every shingle of the
-document. What they meet is compared with the whole document, shingle by shingle.
-No item is missed, wherever its parts stand.
+shingles found anywhere in the document, reported from ``threshold`` on. Items are
+partitioned by size, in powers of two. A partition whose items have up to n shingles
+looks at a document through windows of 2n shingles, one every n, so an item that stands
+in one piece lies whole in a window. Item and window then share at least that part of
+their shingles which containment asks for, which bounds their Jaccard similarity
+whatever the length of the document. Minima under random functions agree with a probability
+equal to that similarity: each partition takes as many functions (bands of one row) as make
+``miss`` the chance that an item is overlooked, even one that stands in two pieces of
+equal length far apart, each a window's match of its own. What agrees is verified by exact
+containment of the shingles (their 64-bit hashes) in the whole document, so nothing
+false is reported, and an item found by one of its pieces counts with all of them. One in more
+pieces may be overlooked more often.
 
 Words are runs of letters, digits and underscores, lower-cased. Items of fewer
 than ``shingle`` words are one shingle of all their words. Items without a word
@@ -48,27 +54,47 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 @dataclass
 class ItemClass:
-    """Items of one shingle length, with what finding them needs."""
+    """Items of one shingle length and one size, with what finding them needs."""
     words: int                 # in a shingle
+    step: int                  # a window begins every so many shingles and is twice as long
     ids: list = field(default_factory=list)
     shingles: list[np.ndarray] = field(default_factory=list)
-    prefixes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # sorted
-    owners: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-
-    def build(self, threshold: float) -> "ItemClass":
-        values, counts = np.unique(np.concatenate(self.shingles), return_counts=True)
-        chosen = []
-        for s in self.shingles:
-            rarest = s[np.lexsort((s, counts[np.searchsorted(values, s)]))]
-            chosen.append(rarest[:len(s) - math.ceil(threshold * len(s) - 1e-9) + 1])
-        found = np.concatenate(chosen)
-        order = np.argsort(found, kind="stable")
-        self.prefixes = found[order]
-        self.owners = np.repeat(np.arange(len(chosen)), list(map(len, chosen)))[order]
+    functions: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    minima: list[np.ndarray] = field(default_factory=list)  # of each function, sorted
+    owners: list[np.ndarray] = field(default_factory=list)
+    some: list[np.ndarray] = field(default_factory=list)    # whether a minimum begins with these bits
+
+    def build(self, threshold: float, miss: float) -> "ItemClass":
+        rng = np.random.default_rng(self.step)
+        self.functions = rng.integers(0, 1 << 63, bands(self.shingles, self.step, threshold, miss),
+                                      dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for function in self.functions:
+            least = np.array([(s * function).min() for s in self.shingles], dtype=np.uint64)
+            order = np.argsort(least, kind="stable")
+            self.minima.append(least[order])
+            self.owners.append(order)
+            some = np.zeros(1 << PREFIX_BITS, dtype=bool)
+            some[least >> np.uint64(64 - PREFIX_BITS)] = True
+            self.some.append(some)
         return self
 
 
-def build_index(items: list[tuple], shingle: int, threshold: float) -> list[ItemClass]:
+PREFIX_BITS = 16
+
+
+def bands(shingles: list[np.ndarray], step: int, threshold: float, miss: float) -> int:
+    """Functions that overlook an item in one piece, or in two equal ones, with probability ``miss`` at most."""
+    fewest = min(map(len, shingles))
+    needed = 1
+    for pieces in (1, 2):
+        piece = math.ceil(threshold * fewest / pieces - 1e-9)
+        similar = piece / (2 * step + fewest - piece)
+        if similar < 1:
+            needed = max(needed, math.ceil(math.log(miss) / (pieces * math.log(1 - similar))))
+    return needed
+
+
+def build_index(items: list[tuple], shingle: int, threshold: float, miss: float = 1e-3) -> list[ItemClass]:
     """Classes of (id, text) items."""
     hashes, classes = WordHash(), {}
     for item, text in sorted(set(items), key=repr):
@@ -76,26 +102,46 @@ def build_index(items: list[tuple], shingle: int, threshold: float) -> list[Item
         if not words:
             continue
         size = min(shingle, len(words))
-        found = classes.setdefault(size, ItemClass(size))
+        own = np.unique(shingle_hashes(hashes.array(words), size))
+        step = 1 << (len(own) - 1).bit_length()
+        found = classes.setdefault((size, step), ItemClass(size, step))
         found.ids.append(item)
-        found.shingles.append(np.unique(shingle_hashes(hashes.array(words), size)))
-    return [c.build(threshold) for _, c in sorted(classes.items())]
+        found.shingles.append(own)
+    return [c.build(threshold, miss) for _, c in sorted(classes.items())]
 
 
-def document_hits(hashes: np.ndarray, doc: np.ndarray, lengths: np.ndarray, c: ItemClass,
-                  threshold: float) -> Iterator[tuple[int, object, float]]:
-    """(document, item id, containment) of every document and item that pass.
+def candidates(hashes: np.ndarray, lengths: np.ndarray, c: ItemClass) -> set[tuple[int, int]]:
+    """(document, item) pairs that agree in the minimum of a window.
 
     ``hashes`` holds the documents' shingles one after the other.
     """
+    counts = -(-lengths // c.step)  # blocks of each document
+    starts = np.cumsum(lengths) - lengths
+    of = np.repeat(np.arange(len(lengths)), counts)
+    first = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    blocks = starts[of] + first * c.step
+    joined = np.append(of[1:] == of[:-1], False)  # a window goes on in the next block
+    found: set[tuple[int, int]] = set()
+    for j, function in enumerate(c.functions):
+        least = np.minimum.reduceat(hashes * function, blocks) if c.step > 1 else (hashes * function)[blocks]
+        window = least.copy()
+        window[joined] = np.minimum(least[:-1], least[1:])[joined[:-1]]
+        likely = np.flatnonzero(c.some[j][window >> np.uint64(64 - PREFIX_BITS)])
+        left = np.searchsorted(c.minima[j], window[likely], "left")
+        right = np.searchsorted(c.minima[j], window[likely], "right")
+        for at in np.flatnonzero(right > left).tolist():
+            doc = int(of[likely[at]])
+            found.update((doc, int(item)) for item in c.owners[j][left[at]:right[at]])
+    return found
+
+
+def document_hits(hashes: np.ndarray, doc: np.ndarray, lengths: np.ndarray, c: ItemClass,
+                  threshold: float) -> Iterator[tuple[int, object, float]]:
+    """(document, item id, containment) of every document and item that pass."""
     starts = np.cumsum(lengths) - lengths
-    left = np.searchsorted(c.prefixes, hashes, "left")
-    right = np.searchsorted(c.prefixes, hashes, "right")
-    places = np.flatnonzero(right > left)
-    met = np.c_[np.searchsorted(starts, places, "right") - 1, left[places], right[places]]
-    hits: dict[int, set[int]] = {}
-    for d, a, b in np.unique(met, axis=0).tolist():
-        hits.setdefault(d, set()).update(c.owners[a:b].tolist())
+    hits: dict[int, list[int]] = {}
+    for d, item in sorted(candidates(hashes, lengths, c)):
+        hits.setdefault(d, []).append(item)
     for d, found in hits.items():
         own = np.unique(hashes[starts[d]:starts[d] + lengths[d]])
         for item in found:
@@ -110,12 +156,13 @@ def search(texts: list[str], index: list[ItemClass], threshold: float, hashes: W
            most: int = 200_000) -> Iterator[tuple[int, object, float]]:
     """(position of the text, item id, containment); texts go in runs of about ``most`` words."""
     def run(held: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, object, float]]:
-        for c in index:
-            parts = [(k, shingle_hashes(words, c.words)) for k, words in held if len(words) >= c.words]
+        for size in sorted({c.words for c in index}):
+            parts = [(k, shingle_hashes(words, size)) for k, words in held if len(words) >= size]
             if parts:
-                yield from document_hits(
-                    np.concatenate([h for _, h in parts]), np.array([k for k, _ in parts]),
-                    np.array([len(h) for _, h in parts]), c, threshold)
+                together, lengths = np.concatenate([h for _, h in parts]), np.array([len(h) for _, h in parts])
+                for c in index:
+                    if c.words == size:
+                        yield from document_hits(together, np.array([k for k, _ in parts]), lengths, c, threshold)
 
     held, words = [], 0
     for k, text in enumerate(texts):
