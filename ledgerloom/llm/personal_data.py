@@ -121,6 +121,22 @@ def classes(rows: DataFrame, name: str, count: str, support: int) -> DataFrame:
             .select(name, count, F.struct(F.col(count), "mark0", "mark1").alias("class")))
 
 
+def rare_terms(said: DataFrame, likely: DataFrame, words: int = 4) -> DataFrame:
+    """``term`` of the ``likely`` ones (with ``most``) that may be in at most ``most`` texts.
+
+    Every text sets one of 64 * ``words`` bits of its terms. A term is in as many texts as it has
+    bits set, or in more, so none is lost. Tasks set the bits of all words before anything is
+    shuffled or joined, one row a term however often it stands.
+    """
+    bit = F.pmod(F.xxhash64("copy"), F.lit(64 * words))
+    marks = [F.bit_or(F.when(F.floor(bit / 64) == k, F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.pmod(bit, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("bigint")))
+        .alias(f"bits{k}") for k in range(words)]
+    found = sum((F.bit_count(f"bits{k}") for k in range(words)), F.lit(0))
+    return (said.groupBy("term").agg(*marks).join(likely.select("term", "most"), "term")
+            .where(found <= F.col("most")).select("term"))
+
+
 def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support: int, firm: int,
                     smoothing: float, generalise_at: float, remove_at: float) -> tuple[DataFrame, DataFrame]:
     """``term, remove`` of the terms that reveal an entity, and ``copy, term`` of all texts that have one.
@@ -147,10 +163,14 @@ def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support:
         in_text.join(words_in_text, "copy").where(can_pass("n_entity"))
         .groupBy("entities", "n_entity", "terms", "n_seen").agg(F.count("*").alias("n_both"))
         .where((F.col("n_both") >= support) & can_pass("n_both")), "pii-pairs")
-    likely = seen.join(pairs.select(F.col("terms").alias("class")).distinct(), "class", "left_semi")
-    likely = written(likely.select("term", "class"), "pii-likely")
-    hits = written(texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
-                   .join(likely.select("term"), "term").distinct(), "pii-hits")
+    # The most texts a term may be in, by the best of its pairs.
+    least = F.lit(total * 1.000001) / F.pow(F.lit(float(total)) / F.col("n_entity"), F.lit(generalise_at))
+    most = pairs.groupBy(F.col("terms").alias("class")).agg(
+        F.max(F.col("n_both") / F.col("n_entity") * least).alias("most"))
+    likely = written(seen.join(most, "class").select("term", "class", "most"), "pii-likely")
+    said = texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
+    rare = written(rare_terms(said, likely), "pii-rare")
+    hits = written(said.join(rare, "term").distinct(), "pii-hits")
     counts = hits.groupBy("term").agg(F.count("*").alias("n_term"))
     added = F.when(F.col("n_both") < firm, F.lit(smoothing)).otherwise(0.0)
     pmi = F.log2(F.lit(float(total)) * F.col("n_both") / ((F.col("n_entity") + added) * (F.col("n_term") + added)))
@@ -179,7 +199,7 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), su
     # A term that reveals an entity goes wherever it stands, beside the entity or not. One text of
     # each copy is searched; where the texts with such terms are few, Spark picks them out first.
     searched = written(hits.join(revealing, "term", "left_semi").select("copy").distinct(), "pii-searched")
-    firsts = texts.groupBy("copy").agg(F.any_value("text").alias("text"))
+    firsts = texts.groupBy("copy").agg(F.min("text").alias("text"))
     words = (firsts.join(searched, "copy", "left_semi")
              .select("copy", F.inline(free_words(F.col("text"))))
              .select("copy", "start", "end", F.lower("value").alias("term")))

@@ -107,7 +107,7 @@ class BlobLedger:
         it to the shuffled texts, which are dealt by blob already, where it is not.
         """
         due = written(self.unseen(texts.select("blob").distinct(), rules), "unseen-blobs")
-        firsts = texts.groupBy("blob").agg(F.any_value("text").alias("text"))
+        firsts = texts.groupBy("blob").agg(F.min("text").alias("text"))
         todo = firsts.join(due.select("blob"), "blob", "left_semi").join(due, "blob")
         results = F.array(*[
             F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"),
