@@ -4,17 +4,23 @@ A page is read into a tree of blocks. Each paragraph passes points for its lengt
 and commas to its parent, half of them to its grandparent, and a third to the next
 one up. A container's points are discounted by the share of its text that
 stands in links. The text is that of the best container and of those siblings
-that score well themselves, hold plain paragraphs, or are its headings.
-Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers,
+that score well themselves, hold plain paragraphs, are its headings, or are
+sections of its own tag and class with few links. If the best container lies in an
+article or main element, that whole element is taken instead, but for parts of it
+that are mostly links. Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers,
 scripts, styles and mark-up go before that, by element or by what their class, id
 or role says. A class or id with such a word in it does not remove what holds all
-articles or most of the text in paragraphs; if names leave nothing of a page with
-paragraphs, they are not heeded.
+articles or most of the text in paragraphs; one that is such a word removes it too,
+unless another class stands beside it, all articles and most of that text are inside,
+and the word is not one for comments or related pages. If names leave nothing of a page
+with paragraphs, they are not heeded. A dialog or fieldset inside an article stays.
 
 A block is what lies between the borders of block elements. White space inside
 one becomes a single space; blocks are joined in page order by a line feed.
 Character references are decoded. End tags that are missing or that match nothing
-are repaired as they come. Null and empty pages, and pages without text, give an
+are repaired as they come. Tags and attributes end where an HTML tokeniser ends them; a
+quote that is never closed counts as a plain character, and a tag that is never closed
+reaches to the end of the page. Time is linear in the length of a page. Null and empty pages, and pages without text, give an
 empty text. Every row is extracted, repeated ones alike; an empty table gives an
 empty result. Columns other than id and html are not read.
 """
@@ -23,7 +29,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -38,7 +43,8 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split())
 DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe svg math button select option input "
-    "textarea object embed canvas audio video head title dialog menu fieldset map".split())
+    "textarea object embed canvas audio video head title menu map".split())
+DROPPED_OUTSIDE_MAIN = frozenset("header dialog fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd dt".split()) | HEADINGS
 CLOSED_BY_BLOCK = frozenset(["p", *HEADINGS])
@@ -50,13 +56,16 @@ BOILERPLATE = re.compile(
     r"respond|toolbar|pagination|pager|skip|hidden)(?:$|[\s_-])", re.IGNORECASE)
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+NEVER_THE_TEXT = frozenset(
+    "comment comments disqus replies respond related recommended".split())
 MAIN = frozenset(["article", "main"])
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-label)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
-                       re.IGNORECASE)
+COMMENT_END = re.compile(r"--!?>")
+TAG = re.compile(r"</?([A-Za-z][^\s/>]*+)")
+BETWEEN = re.compile(r"[\s/]*+")
+NAME = re.compile(r"[^\s/>][^\s/>=]*+")
+EQUALS = re.compile(r"\s*+=\s*+")
+BARE = re.compile(r"[^\s>]*+")
 SPACE = re.compile(r"[\s\xa0]+")
 
 
@@ -64,43 +73,93 @@ SPACE = re.compile(r"[\s\xa0]+")
 class Node:
     tag: str
     parent: "Node | None"
+    kind: str = ""  # the class, as written
+    in_main: bool = False
     dropped: bool = False
-    named: str = ""  # boilerplate by a "whole" class or id, or by a "part" of one
+    named: str = ""  # boilerplate by a "whole" class or id, "beside" a plain one, or by a "part"
     points: float = 0.0
     chars: int = 0
     linked: int = 0
+    prose: int = 0
+    articles: int = 0
+    kept: bool = False
     children: list["Node"] = field(default_factory=list)
-    blocks: list[int] = field(default_factory=list)  # of the page, that lie directly in it
 
 
-def is_boilerplate(tag: str, attributes: str, inside_main: bool) -> bool:
-    if tag in DROPPED or (tag == "header" and not inside_main):
+def is_boilerplate(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
+    if tag in DROPPED or (tag in DROPPED_OUTSIDE_MAIN and not inside_main):
         return True
-    if not attributes or tag in MAIN or tag in ("html", "body"):
+    if tag in MAIN or tag in ("html", "body"):
         return False
-    for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "role" and value.lower() in BOILERPLATE_ROLES):
-            return True
-    return False
+    return "hidden" in attributes or attributes.get("role", "").lower() in BOILERPLATE_ROLES
 
 
-def named(tag: str, attributes: str) -> str:
-    """Whether a class or id is a boilerplate word (whole) or only has one in it (part)."""
-    if not attributes or tag in MAIN or tag in ("html", "body"):
+def named(tag: str, attributes: dict[str, str]) -> str:
+    """How a class or id names boilerplate.
+
+    It is such a word (whole), or that beside another class (beside), or has one in it (part).
+    """
+    if tag in MAIN or tag in ("html", "body"):
         return ""
-    found = [v.strip("\"'") for n, v in ATTRIBUTE.findall(attributes) if n.lower() in ("class", "id")]
-    if any(BOILERPLATE.fullmatch(word) for value in found for word in value.split()):
-        return "whole"
-    return "part" if any(map(BOILERPLATE.search, found)) else ""
+    words = [w for name in ("class", "id") for w in attributes.get(name, "").lower().split()]
+    whole = {w for w in words if BOILERPLATE.fullmatch(w)}
+    if whole:
+        beside = not whole & NEVER_THE_TEXT and any(not BOILERPLATE.search(w) for w in words)
+        return "beside" if beside else "whole"
+    return "part" if any(map(BOILERPLATE.search, words)) else ""
+
+
+class Tags:
+    """The mark-up of a page, read from left to right."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.last = {quote: text.rfind(quote) for quote in "\"'"}
+
+    def attributes(self, at: int) -> tuple[dict[str, str], int]:
+        """The attributes of a tag, the first of a name, and where the tag ends."""
+        text, found = self.text, {}
+        while True:
+            at = BETWEEN.match(text, at).end()
+            if at >= len(text):
+                return found, at
+            if text[at] == ">":
+                return found, at + 1
+            name = NAME.match(text, at)
+            value, at = "", name.end()
+            equals = EQUALS.match(text, at)
+            if equals:
+                at = equals.end()
+                quote = text[at:at + 1]
+                if at < self.last.get(quote, -1):
+                    end = text.index(quote, at + 1)
+                    value, at = text[at + 1:end], end + 1
+                else:
+                    bare = BARE.match(text, at)
+                    value, at = bare.group(), bare.end()
+            found.setdefault(name.group().lower(), html.unescape(value))
+
+    def other(self, at: int) -> int:
+        """The end of a comment or declaration, or ``at`` if the < there is text."""
+        text = self.text
+        if text.startswith("<!--", at):
+            if text.startswith((">", "->"), at + 4):
+                return text.index(">", at + 4) + 1
+            end = COMMENT_END.search(text, at + 4)
+            return end.end() if end else len(text)
+        if text.startswith(("<!", "<?", "</"), at):
+            end = text.find(">", at)
+            return end + 1 if end >= 0 else len(text)
+        return at
 
 
 class Page:
     """The blocks of a page in order, each with the node that holds it."""
 
     def __init__(self, text: str, by_name: bool = True):
-        self.main: list[Node] = []
         self.root = Node("#root", None)
+        self.nodes = [self.root]  # parents before their children
+        self.open: dict[str, int] = {}
         self.blocks: list[tuple[Node, str, int]] = []  # holder, text, characters in links
         self.at, self.links = self.root, 0
         self.pending: list[tuple[str, bool]] = []
@@ -109,44 +168,40 @@ class Page:
         if by_name:
             self._drop_named()
 
+    def summed_up(self, *names: str) -> None:
+        """Add what nodes hold to all their ancestors."""
+        for node in reversed(self.nodes[1:]):
+            for name in names:
+                setattr(node.parent, name, getattr(node.parent, name) + getattr(node, name))
+
     def _drop_named(self) -> None:
         """Drop blocks under boilerplate names.
 
         A name that only has such a word in it does not count if the node holds all article
         and main elements, or most of the text of the page's paragraphs and, where there are
-        such elements, any of them or lies in one.
+        such elements, any of them or lies in one. One beside a plain class does not count if
+        the node holds all such elements and most of that text.
         """
-        prose: dict[int, int] = {}
-        articles: dict[int, int] = {}
-        suspects: dict[int, Node] = {}
-        every = 0
-        for node, text, linked in self.blocks:
-            size = len(text) - linked if node.tag in PARAGRAPHS else 0
-            every += size
-            for up in (node, *ancestors(node)):
-                if up.named:
-                    suspects[id(up)] = up
-                    prose[id(up)] = prose.get(id(up), 0) + size
-        if not suspects:
+        if not any(node.named for node in self.nodes):
             return
-        for node in self.main:
-            for up in ancestors(node):
-                articles[id(up)] = articles.get(id(up), 0) + 1
-
-        def holds_the_text(k: int, node: Node) -> bool:
-            if self.main and articles.get(k, 0) == len(self.main):
+        for node in self.nodes:
+            node.articles = int(node.tag in MAIN and not node.dropped)
+        for node, text, linked in self.blocks:
+            node.prose += len(text) - linked if node.tag in PARAGRAPHS else 0
+        self.summed_up("prose", "articles")
+
+        def holds_the_text(node: Node) -> bool:
+            every, articles = self.root.prose, self.root.articles
+            if node.named == "beside":
+                return 0 < articles == node.articles and 2 * node.prose > every
+            if 0 < articles == node.articles:
                 return True
-            about = not self.main or k in articles or any(n.tag in MAIN for n in ancestors(node))
-            return about and 2 * prose[k] > every
-
-        out = {k for k, n in suspects.items() if n.named == "whole" or not holds_the_text(k, n)}
-        blocks, self.blocks = self.blocks, []
-        for block in blocks:
-            block[0].blocks = []
-        for block in blocks:
-            if not any(id(up) in out for up in (block[0], *ancestors(block[0]))):
-                block[0].blocks.append(len(self.blocks))
-                self.blocks.append(block)
+            return (not articles or node.articles or node.in_main) and 2 * node.prose > every
+
+        for node in self.nodes[1:]:
+            node.dropped = (node.dropped or node.parent.dropped or node.named == "whole"
+                            or bool(node.named) and not holds_the_text(node))
+        self.blocks = [block for block in self.blocks if not block[0].dropped]
 
     def _flush(self) -> None:
         """End the block being read."""
@@ -155,33 +210,36 @@ class Page:
         whole = SPACE.sub(" ", html.unescape("".join(t for t, _ in self.pending))).strip()
         if whole and not self.at.dropped:
             linked = sum(len(html.unescape(t).strip()) for t, link in self.pending if link)
-            self.at.blocks.append(len(self.blocks))
             self.blocks.append((self.at, whole, min(linked, len(whole))))
         self.pending = []
 
     def _read(self, text: str) -> None:
-        at = 0
-        while at < len(text):
-            found = TOKEN.search(text, at)
-            start = found.start() if found else len(text)
-            if start > at and not self.at.dropped:
-                self.pending.append((text[at:start], self.links > 0))
-            if not found:
-                return
-            at = found.end()
-            closing, tag, attributes = found.groups()
-            if tag is None:
+        tags, at, start = Tags(text), 0, 0  # of what is not yet told to be text
+        while (at := text.find("<", at)) >= 0:
+            tag = TAG.match(text, at)
+            end = 0 if tag else tags.other(at)
+            if not tag and end == at:
+                at += 1
                 continue
-            tag = tag.lower()
-            if closing:
-                self._close(tag)
-            else:
-                self._open(tag, attributes)
-                if tag in RAW:
-                    end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(text, at)
-                    at = end.start() if end else len(text)
-
-    def _open(self, tag: str, attributes: str) -> None:
+            self._text(text[start:at])
+            if tag:
+                attributes, end = tags.attributes(tag.end())
+                name = tag.group(1).lower()
+                if text[at + 1] == "/":
+                    self._close(name)
+                else:
+                    self._open(name, attributes)
+                    if name in RAW:
+                        close = re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE).search(text, end)
+                        end = close.start() if close else len(text)
+            at = start = end
+        self._text(text[start:])
+
+    def _text(self, text: str) -> None:
+        if text and not self.at.dropped:
+            self.pending.append((text, self.links > 0))
+
+    def _open(self, tag: str, attributes: dict[str, str]) -> None:
         if tag == "br":
             self.pending.append((" ", False))
             return
@@ -193,35 +251,34 @@ class Page:
         if tag in VOID:
             return
         if self.at.tag in CLOSED_BY_BLOCK or (tag == self.at.tag and tag in PARAGRAPHS):
-            self.at = self.at.parent
+            self._leave()
         self.links = 0
-        inside = self.at.tag in MAIN or any(n.tag in MAIN for n in ancestors(self.at))
+        inside = self.at.in_main or self.at.tag in MAIN
         dropped = self.at.dropped or is_boilerplate(tag, attributes, inside)
         if self.at.tag == "header" and inside and tag not in HEADINGS:
             dropped = True  # of an article's header its headings stay
-        node = Node(tag, self.at, dropped, named(tag, attributes))
-        if tag in MAIN and not dropped:
-            self.main.append(node)
+        node = Node(tag, self.at, attributes.get("class", ""), inside, dropped, named(tag, attributes))
+        self.nodes.append(node)
         self.at.children.append(node)
+        self.open[tag] = self.open.get(tag, 0) + 1
         self.at = node
 
+    def _leave(self) -> None:
+        self.open[self.at.tag] -= 1
+        self.at = self.at.parent
+
     def _close(self, tag: str) -> None:
         if tag == "a":
             self.links = max(0, self.links - 1)
         if tag in INLINE or tag in VOID:
             return
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
         self._flush()
-        if node is not None and node.parent is not None:
-            self.at, self.links = node.parent, 0
-
-
-def ancestors(node: Node) -> Iterator[Node]:
-    while node.parent is not None:
-        node = node.parent
-        yield node
+        if not self.open.get(tag):
+            return
+        while self.at.tag != tag:
+            self._leave()
+        self._leave()
+        self.links = 0
 
 
 def score(page: Page) -> None:
@@ -232,9 +289,6 @@ def score(page: Page) -> None:
         holder = node if node.tag not in PARAGRAPHS else node.parent
         node.chars += len(text)
         node.linked += linked
-        for up in ancestors(node):
-            up.chars += len(text)
-            up.linked += linked
         while holder is not None and holder.tag in ("tr", "tbody", "ul", "ol", "dl"):
             holder = holder.parent
         for divisor in (1, 2, 3):
@@ -242,6 +296,7 @@ def score(page: Page) -> None:
                 break
             holder.points += gain / divisor
             holder = holder.parent
+    page.summed_up("chars", "linked")
 
 
 def final(node: Node) -> float:
@@ -249,6 +304,31 @@ def final(node: Node) -> float:
     return node.points * (1 - density) * (1.5 if node.tag in MAIN else 1.0)
 
 
+def few_links(node: Node) -> bool:
+    return node.chars > 0 and node.linked <= 0.25 * node.chars
+
+
+def choose(best: Node) -> None:
+    """Mark the nodes whose blocks are the text."""
+    inner = best  # on the way up
+    while best.in_main and best.tag not in MAIN:
+        inner, best = best, best.parent
+    best.kept = True
+    if inner is not best:
+        # The whole article, but for lists of links beside the way to the best container.
+        while inner is not best:
+            for other in inner.parent.children:
+                if other is not inner and 2 * other.linked > other.chars:
+                    other.dropped = True
+            inner = inner.parent
+    elif best.parent is not None:
+        bar = max(10.0, 0.2 * final(best))
+        for other in best.parent.children:
+            alike = other.tag in PARAGRAPHS or (
+                other.tag not in MAIN and (other.tag, other.kind) == (best.tag, best.kind))
+            other.kept = other is best or final(other) >= bar or (alike and few_links(other))
+
+
 def main_text(source: str | None) -> str:
     """The article's blocks, joined by line feeds."""
     if not source:
@@ -261,19 +341,11 @@ def main_text(source: str | None) -> str:
     if not page.blocks:
         return ""
     score(page)
-    best = max(holders_of(page), key=final)
-    chosen = {id(best)}
-    if best.parent is not None:
-        bar = max(10.0, 0.2 * final(best))
-        for other in best.parent.children:
-            plain = other.tag in PARAGRAPHS and other.chars and other.linked <= 0.25 * other.chars
-            if other is not best and (plain or final(other) >= bar):
-                chosen.add(id(other))
-    kept = []
-    for node, text, _ in page.blocks:
-        if id(node) in chosen or any(id(n) in chosen for n in ancestors(node)):
-            kept.append(text)
-    return "\n".join(kept)
+    choose(max(holders_of(page), key=final))
+    for node in page.nodes[1:]:
+        node.dropped = node.dropped or node.parent.dropped
+        node.kept = node.kept or node.parent.kept
+    return "\n".join(text for node, text, _ in page.blocks if node.kept and not node.dropped)
 
 
 def holders_of(page: Page) -> list[Node]:

@@ -133,6 +133,69 @@ def test_names_do_not_take_the_article(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "Words, and more words, that go on for a while and say much. " * 8
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><section><p>L</p><p>L</p></section><section><p>Short.</p></section></article>", "L\nL\nShort."),
+    ("<div><p>L</p><p>L</p></div><div><p>Short.</p></div>", "L\nL\nShort."),
+    ("<div><p>L</p></div><div><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></div>", "L"),
+    ("<article><div><p>L</p></div><div><a href=x>One</a> <a href=y>Two</a></div><p>End.</p></article>", "L\nEnd."),
+    ("<main><article><p>L</p></article><article><p>Other.</p></article></main>", "L"),
+    ("<article><p>L</p><dialog>Said</dialog><fieldset><p>Set</p></fieldset>"
+     "<form><fieldset>Mail</fieldset></form></article><dialog>Box</dialog>", "L\nSaid\nSet"),
+    ('<div class="content share"><article><p>L</p></article></div><p>Stray line</p>', "L"),
+    ('<div class="page search"><article><p>L</p></article></div><p>Stray line</p>', "L"),
+    ('<div class="list comments"><article><p>L</p></article></div><p>Stray line</p>', "Stray line"),
+    ('<div class="share"><article><p>L</p></article></div><p>Stray line</p>', "Stray line"),
+    ('<div title="not hidden class=ad"><p>L</p></div>', "L"), ('<div title=x HIDDEN><p>L</p></div><p>M', "M")])
+def test_the_whole_article(page, text):
+    assert html_text.main_text(page.replace("L<", LONG + "<")) == text.replace("L", LONG.strip())
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<p><a href="x"">One</a> two</p>', "One two"), ("<p title=don't>One</p><p>it's</p>", "One\nit's"),
+    ('<p title="x>One</p><p>Two</p>', "One\nTwo"), ('<p title=">">One</p>', "One"),
+    ("<p>One <!--> two <!---> three <!-- x --!> four </ x></> five <3", "One two three four five <3"),
+    ("<p/class=x/>One<br/>two", "One two"), ("<p>One</p><a href", "One"), ("<p>One</p><a x='>' y", "One")])
+def test_tags_end_where_a_tokeniser_ends_them(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 40_000, '<a x=">" ' * 20_000, '<a x="' * 20_000 + ">", "<!-- " * 40_000, "</script " * 40_000,
+    "<div>" * 20_000 + "<p>x</p>" * 20_000, "<div><p>x</p></b></q></div>" * 10_000 + "</x>" * 20_000,
+    "<div class=share>" * 20_000 + "<p>x</p>" * 10_000])
+def test_long_pages_take_linear_time(page):
+    before = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - before < 5
+
+
+def slow_main_text(blocks):
+    """The text of an article whose blocks are given with the containers above each, from outside in."""
+    return "\n".join(text for path, text in blocks if not {"nav", "form", "ad"} & set(path))
+
+
+def test_random_articles_keep_every_block():
+    rng = random.Random(4)
+
+    def tree(path, depth, blocks):
+        if depth == 0 or rng.random() < 0.3:
+            text = f"Line {len(blocks)}, " + "word " * rng.randint(0, 60) + "end"
+            blocks.append((path, text))
+            return f"<p>{text}</p>" if rng.random() < 0.7 else f"<blockquote title='<p>'>{text}</blockquote>"
+        tag = rng.choice(["div", "section", "section", "nav", "form", "ad"])
+        inside = "".join(tree([*path, tag], depth - 1, blocks) for _ in range(rng.randint(1, 3)))
+        return f"<div class=ad>{inside}</div>" if tag == "ad" else f"<{tag}>{inside}</{tag}>"
+
+    for _ in range(200):
+        blocks = [([], "Opening line")]
+        body = "<p>Opening line</p>" + "".join(tree([], 4, blocks) for _ in range(4))
+        page = f"<body><nav><a href=x>Menu</a></nav><article>{body}</article><footer>me</footer></body>"
+        assert html_text.main_text(page) == slow_main_text(blocks), page
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, PAGE, "x"), (1, PAGE, "y"), (None, None, "z")],
                                   "page_id int, html string, text string")
