@@ -10,10 +10,12 @@ from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom import schemas
 from ledgerloom.functions import dates
-from ledgerloom.operators import ingest, maintenance, reconcile
+from ledgerloom.operators import ingest, maintenance, reconcile, references
+from ledgerloom.operators.references import Reference
 from ledgerloom.plans.advance import AdvancedTables
 from ledgerloom.plans.ledger import Ledger, LedgerTables
 from ledgerloom.settings import EXPENSES, FIX_CATEGORY, FIX_TAG, LedgerSettings
@@ -34,6 +36,9 @@ WITH_IDS = {"transactions", "exchanges", "transfers"}
 # Fixes booked by settlements, kept so that the next run loads them with the expenses.
 FIXES = "booked_fixes"
 FIX_SCHEMA = schemas.without(schemas.TRANSACTIONS, "id")
+# What a load that has not come to its end has loaded so far.
+PROGRESS = "load_progress"
+PROGRESS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("dataset", "state")])
 # The latest snapshot of balances is then found by partition, not by scan.
 PARTITIONS = {"balances": ("calendar_date",)}
 
@@ -158,41 +163,154 @@ def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[s
 
 
 def load_all(tables: SnapshotTables, files: LedgerFiles, stage,
-             order: Sequence[str] = LOAD_ORDER) -> None:
+             order: Sequence[str] = LOAD_ORDER, resume: bool = False) -> None:
     """Load extracts in order and stop at the first that fails.
 
-    Neighbours that share a table are one change, so no half of it is ever seen.
+    Neighbours that share a table are one change, so no half of it is ever seen. What was
+    loaded is recorded with the extracts' state until the whole order is done. With
+    ``resume`` a load that stopped goes on after the tables whose extracts have not changed
+    since; from the first that has, all are loaded.
     """
+    done = _progress(tables) if resume else {}
+    record: dict[str, str] = {}
     for table, group in groupby(order, key=TARGET.get):
         datasets = list(group)
+        state = {d: _state(tables.spark, d, files.extracts[d]) for d in datasets}
+        if all(done.get(d) == state[d] for d in datasets):
+            record |= state
+            continue
+        done = {}
         try:
             load(tables, datasets, files.extracts, stage)
         except LoadError:
             raise
         except Exception as error:
             raise LoadError(f"loading {table} failed: {error}") from error
+        record |= state
+        _record_progress(tables, record)
+    _record_progress(tables, {})
+
+
+def _state(spark: SparkSession, dataset: str, path: str) -> str:
+    try:
+        return csv_files.state(spark, path)
+    except Exception as error:
+        raise LoadError(f"loading {dataset} failed: {error}") from error
+
+
+def _progress(tables: SnapshotTables) -> dict[str, str]:
+    """Extracts that a load which stopped has loaded, one row each."""
+    if tables.current(PROGRESS) is None:
+        return {}
+    return {r["dataset"]: r["state"] for r in tables.read(PROGRESS, PROGRESS_SCHEMA).collect()}
+
+
+def _record_progress(tables: SnapshotTables, record: Mapping[str, str]) -> None:
+    rows = tables.spark.createDataFrame(sorted(record.items()), PROGRESS_SCHEMA)
+    tables.publish(PROGRESS, rows.coalesce(1))
+
+
+def _touched(rows: DataFrame, table: str) -> list:
+    """Dates of the table's partitions that rows lie in: at most one value for each partition."""
+    (day,) = PARTITIONS[table]
+    return [r[day] for r in rows.select(day).distinct().collect()]
+
+
+def _partitions(tables: SnapshotTables, table: str, days: Sequence) -> DataFrame:
+    """The rows of some dates; the files of other dates are not opened."""
+    (day,) = PARTITIONS[table]
+    return tables.read(table, schemas.TABLES[table]).filter(F.col(day).isin(*days))
+
+
+def _by_date(tables: SnapshotTables, table: str) -> bool:
+    """Whether dates of the table can be rewritten alone."""
+    return table in PARTITIONS and tables.extent(table)[1] == 0
 
 
 def upsert_into(tables: SnapshotTables, table: str, batch: DataFrame, update: Sequence[str],
                 stage, sequence: Sequence[str] = ()) -> None:
-    """Publish a table with ``batch`` upserted by its primary key."""
-    current = tables.read(table, schemas.TABLES[table])
-    rows = maintenance.upsert(current, batch, schemas.PRIMARY_KEYS[table], update, sequence, stage)
-    tables.publish(table, rows, PARTITIONS.get(table, ()))
-
+    """Upsert ``batch`` into a table by its primary key.
 
-def delete_from(tables: SnapshotTables, table: str, predicate: Column) -> None:
-    """Publish a table without the rows for which the predicate is true."""
+    Of a table kept by date only the dates of the batch are read and written.
+    """
+    keys = schemas.PRIMARY_KEYS[table]
+    if not _by_date(tables, table):
+        current = tables.read(table, schemas.TABLES[table])
+        tables.publish(table, maintenance.upsert(current, batch, keys, update, sequence, stage),
+                       PARTITIONS.get(table, ()))
+        return
+    (day,) = PARTITIONS[table]
+    batch = stage.always(batch, "batch")
+    days = _touched(batch, table)
+    if None in days:
+        raise ValueError(f"missing values: {day}")
+    rows = maintenance.upsert(_partitions(tables, table, days), batch, keys, update, sequence, stage)
+    if days:
+        tables.replace(table, stage.always(rows, "dates"), day)
+
+
+def delete_from(tables: SnapshotTables, table: str, predicate: Column, stage=None) -> None:
+    """Remove the rows for which the predicate is true.
+
+    With a stage, only those dates of a table kept by date are read and written that hold such rows.
+    """
     current = tables.read(table, schemas.TABLES[table])
-    tables.publish(table, maintenance.delete_where(current, predicate), PARTITIONS.get(table, ()))
+    if stage is None or not _by_date(tables, table):
+        tables.publish(table, maintenance.delete_where(current, predicate), PARTITIONS.get(table, ()))
+        return
+    (day,) = PARTITIONS[table]
+    days = _touched(current.filter(predicate), table)
+    if days:
+        rows = stage.always(
+            maintenance.delete_where(_partitions(tables, table, days), predicate), "dates")
+        left = set(_touched(rows, table))
+        tables.replace(table, rows, day, [d for d in days if d not in left])
 
 
 def update_table(tables: SnapshotTables, table: str, predicate: Column,
-                 values: Mapping[str, Column]) -> None:
-    """Publish a table with columns set where the predicate is true."""
+                 values: Mapping[str, Column], stage=None) -> None:
+    """Set columns where the predicate is true; with a stage, by date as in ``delete_from``.
+
+    Rows that change their date make the whole table be written.
+    """
     current = tables.read(table, schemas.TABLES[table])
-    tables.publish(table, maintenance.update_where(current, predicate, values),
-                   PARTITIONS.get(table, ()))
+    if stage is None or not _by_date(tables, table) or set(values) & set(PARTITIONS[table]):
+        tables.publish(table, maintenance.update_where(current, predicate, values),
+                       PARTITIONS.get(table, ()))
+        return
+    days = _touched(current.filter(predicate), table)
+    if days:
+        rows = maintenance.update_where(_partitions(tables, table, days), predicate, values)
+        tables.replace(table, stage.always(rows, "dates"), *PARTITIONS[table])
+
+
+def _referring(tables: SnapshotTables, links: Sequence[Reference], table: str) -> dict[str, DataFrame]:
+    names = {table, *(r.child for r in links), *(r.parent for r in links)}
+    return {name: tables.read(name, schemas.TABLES.get(name)) for name in names}
+
+
+def _publish_changed(tables: SnapshotTables, changed: Mapping[str, DataFrame]) -> None:
+    # Children first: the same change, if it is repeated, finds its rows in the parent again.
+    for name in reversed(list(changed)):
+        tables.publish(name, changed[name], PARTITIONS.get(name, ()))
+
+
+def change_keys(tables: SnapshotTables, links: Sequence[Reference], table: str, predicate: Column,
+                values: Mapping[str, Column], stage) -> None:
+    """``update_table`` for columns that other tables refer to: their rows follow, or none change.
+
+    Everything is checked before the first table is published. A run that died in between
+    is repeated, except for keys that trade places.
+    """
+    _publish_changed(tables, references.update_keys(
+        _referring(tables, links, table), links, table, predicate, values, stage))
+
+
+def delete_referred(tables: SnapshotTables, links: Sequence[Reference], table: str,
+                    predicate: Column, stage) -> None:
+    """``delete_from`` for rows that other tables may refer to."""
+    _publish_changed(tables, references.delete_rows(
+        _referring(tables, links, table), links, table, predicate, stage))
 
 
 def open_tables(tables: SnapshotTables) -> LedgerTables:

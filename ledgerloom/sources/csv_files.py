@@ -121,3 +121,11 @@ def read_extract(spark: SparkSession, dataset: str, path: str,
 def write_csv(df: DataFrame, path: str) -> None:
     """One header-carrying part file per task under ``path``."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def state(spark: SparkSession, path: str) -> str:
+    """Path, number of files, bytes and latest change of an extract, without reading it."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+             .agg(F.count("path").alias("n"), F.sum("length").alias("length"),
+                  F.max("modificationTime").cast("double").alias("changed"))).first()
+    return f"{path} {files['n']} {files['length']} {files['changed']!r}"

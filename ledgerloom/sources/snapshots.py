@@ -6,6 +6,7 @@ counts once Spark has committed it (it holds ``_SUCCESS``); the newest snapshot
 with a committed part 0 is the table. A change writes the next snapshot, an
 addition the next part. The path being read is therefore never overwritten, a
 job that dies leaves the table as it was, and rolling back means not publishing.
+The exception is ``replace``, which rewrites some partitions of a large table in place.
 """
 
 from __future__ import annotations
@@ -81,12 +82,31 @@ class SnapshotTables:
         self._write(df, f"{folder}/part={part}", partition_by)
         return number
 
+    def replace(self, table: str, df: DataFrame, partition_by: str, emptied: Sequence = ()) -> None:
+        """Make ``df`` the content of the partitions it has rows for, and remove the ``emptied`` ones.
+
+        ``df`` must not read the table. The files of other partitions are left alone, so
+        nothing but the change is written. Spark moves the new files in when all of them are
+        written; a job that dies before has changed nothing, and one that dies while it
+        moves them is repeated. Readers that began before have to begin again.
+        """
+        number, last = self.extent(table)
+        if last:
+            raise ValueError(f"{table} has appended parts: publish it whole")
+        path = f"{self._snapshot(table, number)}/part=0"
+        self._write(df, path, [partition_by], "overwrite", partitionOverwriteMode="dynamic")
+        for value in emptied:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_by}={value}")
+            conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+            folder.getFileSystem(conf).delete(folder, True)
+
     @staticmethod
-    def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists",
+               **options: str) -> None:
         if partition_by:
             # Rows of a partition meet in one task, or in several where they are many.
             df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode(mode).options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import schemas
+from ledgerloom.operators.references import BrokenReference, Reference
 from ledgerloom.plans import run as runs
 from ledgerloom.plans.ledger import VIEWS, Ledger
 from ledgerloom.settings import LedgerSettings
@@ -211,3 +215,98 @@ def test_a_fix_taken_back_stays_away(start):
     assert [r.account for r in tables.read("transactions").filter("tag = 'Fix'").collect()] == ["A"]
     runs.load_all(tables, files, stage)
     assert [r.account for r in tables.read("transactions").filter("tag = 'Fix'").collect()] == ["A"]
+
+
+def files_of(tables, table):
+    return set(tables.read(table).inputFiles())
+
+
+def test_changes_by_date_leave_other_dates_alone(spark, make, tmp_path):
+    tables, stage = SnapshotTables(spark, str(tmp_path / "dates")), Stage(spark)
+    given = make.balances(*[(a, f"2023-01-0{d}", "USD", float(d)) for a in "AB" for d in range(1, 7)])
+    tables.publish("balances", given, ("calendar_date",))
+    before = files_of(tables, "balances")
+    on = lambda *days: {f for f in before if any(f"calendar_date=2023-01-0{d}" in f for d in days)}
+    batch = make.balances(("A", "2023-01-02", "USD", 9.0), ("C", "2023-01-03", "USD", 8.0))
+    runs.upsert_into(tables, "balances", batch, ["amount"], stage)
+    after = files_of(tables, "balances")
+    assert before & after == before - on(2, 3)
+    runs.delete_from(tables, "balances", (F.col("account") == "C") | (F.col("amount") == 4), stage)
+    runs.update_table(tables, "balances", F.col("amount") == 5, {"amount": F.lit(0.0)}, stage)
+    assert before & files_of(tables, "balances") == on(1, 6)
+    assert rows(tables.read("balances").select(
+        "account", F.dayofmonth("calendar_date").alias("d"), "amount")) == sorted([
+            (a, d, 9.0 if (a, d) == ("A", 2) else 0.0 if d == 5 else float(d))
+            for a in "AB" for d in (1, 2, 3, 5, 6)], key=repr)
+    assert tables.current("balances") == 1
+    # Nothing to change, a moved date, a batch without rows or without a date.
+    runs.delete_from(tables, "balances", F.col("account") == "nobody", stage)
+    runs.upsert_into(tables, "balances", batch.limit(0), ["amount"], stage)
+    with pytest.raises(ValueError, match="calendar_date"):
+        runs.upsert_into(tables, "balances", batch.withColumn("calendar_date", F.lit(None).cast("date")),
+                         ["amount"], stage)
+    assert tables.current("balances") == 1
+    runs.update_table(tables, "balances", F.col("amount") == 0,
+                      {"calendar_date": F.lit("2023-02-01").cast("date")}, stage)
+    assert tables.current("balances") == 2 and tables.read("balances").count() == 10
+
+
+def test_an_upsert_opens_the_dates_of_its_batch_only(spark, make, tmp_path):
+    tables = SnapshotTables(spark, str(tmp_path / "dates"))
+    tables.publish("balances", make.balances(("A", "2023-01-01", "USD", 1.0), ("A", "2023-01-02", "USD", 2.0)),
+                   ("calendar_date",))
+    plan = runs._partitions(tables, "balances", [dt.date(2023, 1, 2)])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(calendar_date" in plan
+
+
+def test_a_change_by_date_that_fails_changes_nothing(spark, make, tmp_path):
+    tables, stage = SnapshotTables(spark, str(tmp_path / "dates")), Stage(spark)
+    tables.publish("balances", make.balances(("A", "2023-01-01", "USD", 1.0)), ("calendar_date",))
+    broken = make.balances(("A", "2023-01-01", "USD", 5.0)).withColumn(
+        "amount", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace("balances", broken, "calendar_date")
+    assert [r["amount"] for r in tables.read("balances").collect()] == [1.0]
+    tables.append("balances", make.balances(("A", "2023-01-02", "USD", 1.0)), ("calendar_date",))
+    with pytest.raises(ValueError, match="appended"):
+        tables.replace("balances", broken, "calendar_date")
+    runs.delete_from(tables, "balances", F.col("amount") == 1, stage)
+    assert tables.read("balances", schemas.BALANCES).count() == 0
+
+
+def test_keys_change_with_the_tables_that_refer_to_them(spark, make, tmp_path):
+    tables, stage = SnapshotTables(spark, str(tmp_path / "links")), Stage(spark)
+    tables.publish("accounts", make.frame([("A", 1), ("B", 2)], "name string, bank int"))
+    tables.publish("balances", make.balances(("A", "2023-01-01", "USD", 1.0), ("B", "2023-01-01", "USD", 2.0)),
+                   ("calendar_date",))
+    links = [Reference("balances", "account", "accounts", "name")]
+    runs.change_keys(tables, links, "accounts", F.col("name") == "A", {"name": F.lit("Z")}, stage)
+    assert sorted(r["account"] for r in tables.read("balances").collect()) == ["B", "Z"]
+    with pytest.raises(BrokenReference, match="balances.account"):
+        runs.delete_referred(tables, links, "accounts", F.col("name") == "Z", stage)
+    runs.delete_from(tables, "balances", F.col("account") == "Z", stage)
+    runs.delete_referred(tables, links, "accounts", F.col("name") == "Z", stage)
+    assert [r["name"] for r in tables.read("accounts").collect()] == ["B"]
+
+
+def test_a_load_that_stopped_goes_on_where_it_stopped(start, spark):
+    tables, files, stage = start("A,31/1/2023,USD,50")
+    held = lambda: {t: tables.current(t) for t in ("transactions", "exchanges", "transfers")}
+    broken = runs.LedgerFiles({**files.extracts, "transf": "/nowhere.csv"}, files.reports)
+    with pytest.raises(runs.LoadError, match="transf"):
+        runs.load_all(tables, broken, stage)
+    assert held() == {"transactions": 1, "exchanges": 1, "transfers": None}
+    runs.load_all(tables, files, stage, resume=True)
+    assert held() == {"transactions": 1, "exchanges": 1, "transfers": 1}
+    assert ledger_rows(tables) == [PAY, SHOP]
+    # The load came to its end, so the next one starts anew.
+    runs.load_all(tables, files, stage, resume=True)
+    assert held() == {"transactions": 2, "exchanges": 2, "transfers": 2}
+    # An extract that changed since is loaded again, with all that follow.
+    with pytest.raises(runs.LoadError):
+        runs.load_all(tables, broken, stage)
+    with open(files.extracts["income"], "a") as income:
+        income.write("more,5,A,1/1/2023,Work,Pay,USD,True\n")
+    runs.load_all(tables, files, stage, resume=True)
+    assert held() == {"transactions": 4, "exchanges": 4, "transfers": 3}
+    assert len(ledger_rows(tables)) == 3

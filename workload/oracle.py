@@ -437,6 +437,26 @@ ORACLES: dict[str, str] = {
                           case o_orderpriority when '5-LOW' then 0e0 else o_totalprice end
                             as o_totalprice)
         from orders""",
+    "update_cascade": """
+        select o.* replace (case when exists (select * from customer c where c.c_custkey = o.o_custkey
+                                              and c.c_acctbal < 0 and c.c_mktsegment = 'BUILDING')
+                                 then o.o_custkey + 1000000000000 else o.o_custkey end as o_custkey)
+        from orders o""",
+    "delete_cascade": """
+        select l.* from lineitem l
+        where not exists (select * from orders o join customer c on c.c_custkey = o.o_custkey
+                          where o.o_orderkey = l.l_orderkey and c.c_mktsegment = 'BUILDING')""",
+    "upsert_dates": sql(("balances",), (), f"""
+        , last_day_ as (select max(calendar_date) as d from balances),
+        merged as (
+          select account, calendar_date, currency,
+                 case when calendar_date = d then amount + 1 else amount end as amount
+          from balances, last_day_ where calendar_date <> cast(d - interval 1 day as date)
+          union all
+          select account, cast(d - interval 1 day as date), currency, amount + 1
+          from balances, last_day_ where calendar_date = d and currency <> 'USD')
+        select account, calendar_date, currency,
+               {rnd('case when amount < 0 then 0e0 else amount end')} as amount from merged"""),
     "surrogate_id": sql(("transactions",), (), """
         select count(*) as n, cast(1 as bigint) as first_id, count(*) as last_id,
                cast(count(*) * (count(*) + 1) / 2 as bigint) as id_sum, count(*) as n_ids

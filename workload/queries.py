@@ -19,6 +19,7 @@ from ledgerloom.functions.values import sanitize
 from ledgerloom.operators import (
     fx, ingest, maintenance, mapping, positions, reconcile, reports, trades,
 )
+from ledgerloom.operators.references import CASCADE, Reference, delete_rows, update_keys
 from ledgerloom.plans import run as runs
 from ledgerloom.plans.advance import AdvancedTables
 from ledgerloom.plans.ledger import Ledger
@@ -492,6 +493,48 @@ def update_where(spark, sf_dir):
         {"o_orderpriority": F.lit("LOW"), "o_totalprice": F.lit(0.0)})
 
 
+@query
+def update_cascade(spark, sf_dir):
+    """Builders get new keys; accounts of customers in debt follow, and orders on those accounts."""
+    customers = source(spark, sf_dir, "customer")
+    tables = {"customer": customers, "orders": source(spark, sf_dir, "orders"),
+              "accounts": customers.filter(F.col("c_acctbal") < 0).select("c_custkey", "c_acctbal")}
+    links = (Reference("accounts", "c_custkey", "customer", "c_custkey"),
+             Reference("orders", "o_custkey", "accounts", "c_custkey"))
+    changed = update_keys(tables, links, "customer", F.col("c_mktsegment") == "BUILDING",
+                          {"c_custkey": F.col("c_custkey") + 1_000_000_000_000}, session_stage(spark))
+    return changed["orders"]
+
+
+@query
+def delete_cascade(spark, sf_dir):
+    """Customers of one segment go with their orders and the items of these."""
+    tables = {name: source(spark, sf_dir, name) for name in ("customer", "orders", "lineitem")}
+    links = (Reference("orders", "o_custkey", "customer", "c_custkey", on_delete=CASCADE),
+             Reference("lineitem", "l_orderkey", "orders", "o_orderkey", on_delete=CASCADE))
+    changed = delete_rows(tables, links, "customer", F.col("c_mktsegment") == "BUILDING",
+                          session_stage(spark))
+    return changed["lineitem"]
+
+
+@query
+@rounded(2, "amount")
+def upsert_dates(spark, sf_dir):
+    """The balances after two of their dates were corrected, one cleared and one marked."""
+    tables = SnapshotTables(spark, f"{session_stage(spark).folder}/dates-{uuid.uuid4().hex[:8]}")
+    balances, day, stage = view(spark, sf_dir, "balances"), F.col("calendar_date"), session_stage(spark)
+    tables.publish("balances", balances, ("calendar_date",))
+    ends = balances.agg(F.max("calendar_date").alias("last")).first()["last"]
+    ends = [ends, ends - dt.timedelta(days=1)]
+    batch = reduce(DataFrame.unionByName, [
+        balances.filter(day == ends[0]).withColumns({"calendar_date": F.lit(d), "amount": F.col("amount") + 1})
+        for d in ends])
+    runs.upsert_into(tables, "balances", batch, ["amount"], stage)
+    runs.delete_from(tables, "balances", (day == ends[1]) & (F.col("currency") == "USD"), stage)
+    runs.update_table(tables, "balances", F.col("amount") < 0, {"amount": F.lit(0.0)}, stage)
+    return tables.read("balances", balances.schema)
+
+
 @query
 def surrogate_id(spark, sf_dir):
     """Ids are arbitrary, so what must hold of them is shown instead."""
