@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.frames import written
+from ledgerloom.llm.sieve import sieve
 from ledgerloom.llm.spans import let, located, replaced, running_most
 
 KINDS = ("email", "ip", "card", "phone")
@@ -133,6 +134,7 @@ def rare_terms(said: DataFrame, likely: DataFrame, words: int = 4) -> DataFrame:
         "shiftleft", F.lit(1).cast("bigint"), F.pmod(bit, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("bigint")))
         .alias(f"bits{k}") for k in range(words)]
     found = sum((F.bit_count(f"bits{k}") for k in range(words)), F.lit(0))
+    said = said.where(sieve(likely, "term", "pii-sieve-likely").may_hold(F.col("term")))
     return (said.groupBy("term").agg(*marks).join(likely.select("term", "most"), "term")
             .where(found <= F.col("most")).select("term"))
 
@@ -142,8 +144,8 @@ def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support:
     """``term, remove`` of the terms that reveal an entity, and ``copy, term`` of all texts that have one.
 
     ``mentions``: ``copy, entities, words`` of each text with an entity; ``texts``: ``copy, text`` of
-    all rows. Words of all texts are only held against the terms that can still pass; Spark sends
-    these to the texts where they are small enough.
+    all rows. Words of all texts are only held against the terms that can still pass: tasks sieve
+    out all others before a word is shuffled, however many terms there are.
     """
     held = mentions.select("copy", F.explode("entities").alias("entity"))
     known = written(classes(held, "entity", "n_entity", support), "pii-entities")
@@ -170,7 +172,8 @@ def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support:
     likely = written(seen.join(most, "class").select("term", "class", "most"), "pii-likely")
     said = texts.select("copy", F.explode(words_of(F.col("text"))).alias("term"))
     rare = written(rare_terms(said, likely), "pii-rare")
-    hits = written(said.join(rare, "term").distinct(), "pii-hits")
+    may_be_rare = said.where(sieve(rare, "term", "pii-sieve-rare").may_hold(F.col("term"))).distinct()
+    hits = written(may_be_rare.join(rare, "term"), "pii-hits")
     counts = hits.groupBy("term").agg(F.count("*").alias("n_term"))
     added = F.when(F.col("n_both") < firm, F.lit(smoothing)).otherwise(0.0)
     pmi = F.log2(F.lit(float(total)) * F.col("n_both") / ((F.col("n_entity") + added) * (F.col("n_term") + added)))
@@ -197,9 +200,10 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), su
     revealing, hits = revealing_terms(mentions, texts, total, support, firm, smoothing, generalise_at, remove_at)
 
     # A term that reveals an entity goes wherever it stands, beside the entity or not. One text of
-    # each copy is searched; where the texts with such terms are few, Spark picks them out first.
+    # each copy is searched; texts without such terms are sieved out before they are shuffled.
     searched = written(hits.join(revealing, "term", "left_semi").select("copy").distinct(), "pii-searched")
-    firsts = texts.groupBy("copy").agg(F.min("text").alias("text"))
+    firsts = (texts.where(sieve(searched, "copy", "pii-sieve-searched").may_hold(F.col("copy")))
+              .groupBy("copy").agg(F.min("text").alias("text")))
     words = (firsts.join(searched, "copy", "left_semi")
              .select("copy", F.inline(free_words(F.col("text"))))
              .select("copy", "start", "end", F.lower("value").alias("term")))
@@ -231,15 +235,18 @@ def free_words(text: Column) -> Column:
 def all_spans(found: Findings, salts: int = 16) -> DataFrame:
     """The kept columns of every row, with ``spans`` and ``terms``.
 
-    The few texts with terms are joined to the rows. Where they are too many to broadcast,
-    rows are dealt by text and one of ``salts`` numbers, as a third of all rows may be
-    copies of one text.
+    Only rows that a sieve of the texts with terms lets through are joined to them. These
+    are dealt by text and one of ``salts`` numbers, as a third of all rows may be copies of
+    one text.
     """
     terms = found.terms.select("copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "terms")
-    rows = found.base.drop("entities", "words").withColumn(
-        "salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-    return (rows.join(terms, ["copy", "salt"], "left").drop("copy", "salt")
-            .withColumn("terms", F.coalesce("terms", F.array().cast(TERMS))))
+    rows = found.base.drop("entities", "words")
+    none = F.array().cast(TERMS)
+    may_hold = sieve(found.terms, "copy", "pii-sieve-terms").may_hold(F.col("copy"))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    joined = (rows.where(may_hold).withColumn("salt", salt).join(terms, ["copy", "salt"], "left").drop("copy", "salt")
+              .withColumn("terms", F.coalesce("terms", none)))
+    return joined.unionByName(rows.where(~may_hold).drop("copy").withColumn("terms", none))
 
 
 def with_terms(spans: Column, terms: Column) -> Column:

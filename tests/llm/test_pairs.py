@@ -8,8 +8,11 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, personal_data, simhash
+from ledgerloom.llm.frames import written
+from ledgerloom.llm.sieve import MOST_BITS, sieve
 
 DOCS = "doc_id bigint, text string, copy string, id int, spans int, part int"
 
@@ -335,3 +338,28 @@ def test_an_item_held_in_two_parts(gap):
              for at in range(140)]
     got = list(decontaminate.search(texts, index, 0.8, decontaminate.WordHash()))
     assert got == [(k, 1, 60 / 64) for k in range(140)]
+
+
+def test_a_sieve_loses_no_key(spark):
+    rows = [(w,) for w in ["", "a", "ä", "\U0001f600", "x" * 50_000, None] + [f"w{k}" for k in range(3_000)]]
+    keys = written(spark.createDataFrame(rows, "key string"), "keys")
+    others = spark.range(20_000).select(F.concat(F.lit("other"), "id").alias("key"))
+    for most_bits, by_chance in ((MOST_BITS, 200), (1 << 12, 20_000)):
+        held = sieve(keys, "key", "held", most_bits)
+        assert keys.where(held.may_hold(F.col("key"))).count() == len(rows)
+        assert others.where(held.may_hold(F.col("key"))).count() <= by_chance
+
+
+def test_a_sieve_without_keys_passes_none(spark):
+    none = written(spark.createDataFrame([], "key string"), "none")
+    assert spark.createDataFrame([("a",), (None,), ("",)], "key string").where(
+        sieve(none, "key", "held").may_hold(F.col("key"))).count() == 0
+
+
+def test_terms_do_not_depend_on_the_bits_of_a_sieve(spark, monkeypatch):
+    texts = [f"mail ann@x{k % 40}.org about zephyr{chr(97 + k % 20)}qu and common words here" for k in range(400)]
+    docs = documents(spark, list(enumerate(texts)))
+    full = sorted(map(str, personal_data.sanitise(docs).collect()))
+    monkeypatch.setattr(personal_data, "sieve", lambda keys, key, name: sieve(keys, key, name, 64))
+    monkeypatch.setattr("ledgerloom.llm.sieve.LEAST_BITS", 64)
+    assert sorted(map(str, personal_data.sanitise(docs).collect())) == full
