@@ -154,15 +154,27 @@ def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support:
     needed = math.log2(max(1, known.count())) + math.log2(max(1, seen.count()))
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
 
+    def most_texts(n_both: str) -> Column:
+        return F.col(n_both) * F.pow(F.lit(float(total)) / F.col("n_entity"), F.lit(1 - generalise_at)) * 1.000001
+
     def can_pass(n_both: str) -> Column:
         """Texts with the term and any mention are no more than all that have the term."""
-        most = F.col(n_both) * F.pow(F.lit(float(total)) / F.col("n_entity"), F.lit(1 - generalise_at))
-        return (F.col("n_seen") <= most * 1.000001) & (F.col(n_both) * information >= needed)
-
-    in_text = held.join(known, "entity").select("copy", "n_entity", F.col("class").alias("entities")).distinct()
-    words_in_text = said.join(seen, "term").select("copy", "n_seen", F.col("class").alias("terms")).distinct()
+        return (F.col("n_seen") <= most_texts(n_both)) & (F.col(n_both) * information >= needed)
+
+    # Entities that can be told apart at all, the texts that have one, and the terms that are in few
+    # enough texts for the most frequent of them: all other words are sieved out before the join.
+    strong = written(held.join(known.where(F.col("n_entity") * information >= needed), "entity")
+                     .select("copy", "n_entity", F.col("class").alias("entities")).distinct(), "pii-strong")
+    bound = strong.agg(F.max(most_texts("n_entity"))).first()[0] or 0.0
+    few = written(seen.where(F.col("n_seen") <= bound), "pii-few")
+    near = (mentions.where(sieve(strong, "copy", "pii-sieve-strong").may_hold(F.col("copy")))
+            .select("copy", F.explode("words").alias("term"))
+            .where(sieve(few, "term", "pii-sieve-few").may_hold(F.col("term"))))
+    # By text once, for the distinct classes and for the join.
+    words_in_text = (near.join(few, "term").select("copy", "n_seen", F.col("class").alias("terms"))
+                     .repartition("copy").distinct())
     pairs = written(
-        in_text.join(words_in_text, "copy").where(can_pass("n_entity"))
+        strong.join(words_in_text, "copy").where(can_pass("n_entity"))
         .groupBy("entities", "n_entity", "terms", "n_seen").agg(F.count("*").alias("n_both"))
         .where((F.col("n_both") >= support) & can_pass("n_both")), "pii-pairs")
     # The most texts a term may be in, by the best of its pairs.
@@ -184,6 +196,14 @@ def revealing_terms(mentions: DataFrame, texts: DataFrame, total: int, support:
                    "pii-revealing"), hits
 
 
+def one_of_each(rows: DataFrame) -> DataFrame:
+    """One row of each ``copy``; only rows of a text that stands in several are shuffled."""
+    repeated = written(rows.groupBy("copy").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("copy"),
+                       "pii-repeated")
+    may_repeat = sieve(repeated, "copy", "pii-sieve-repeated").may_hold(F.col("copy"))
+    return rows.where(~may_repeat).unionByName(rows.where(may_repeat).dropDuplicates(["copy"]))
+
+
 def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), support: int = 2, firm: int = 3,
          smoothing: float = 0.5, generalise_at: float = 0.9, remove_at: float = 0.97) -> Findings:
     """Base spans of every row, and the revealing terms of every text."""
@@ -194,8 +214,8 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), su
     beside = F.when(F.size("spans") > 0, words_of(F.col("text"))).otherwise(F.array().cast("array<string>"))
     base = written(scanned.withColumn("entities", entities(F.col("spans"))).withColumn("words", beside)
                    .drop("text"), "pii")
-    mentions = written(base.where(F.size("entities") > 0).select("copy", "entities", "words")
-                       .dropDuplicates(["copy"]), "pii-mentions")
+    mentions = written(one_of_each(base.where(F.size("entities") > 0).select("copy", "entities", "words")),
+                       "pii-mentions")
     total = max(1, base.select("copy").distinct().count())
     revealing, hits = revealing_terms(mentions, texts, total, support, firm, smoothing, generalise_at, remove_at)
 
