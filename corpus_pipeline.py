@@ -1,21 +1,34 @@
 """A training corpus from ``documents``: five filters and edits, one after the other.
 
 Every stage takes all that the one before kept, and its result is written as
-Parquet and read again for the next.
+Parquet and read again for the next. Executors and their Python workers live through all of
+them, so the stages send texts to Python in batches of bounded size.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, mixing, personal_data, simhash, toxicity
-from ledgerloom.llm.frames import in_held_out_fold
+from ledgerloom.llm.frames import bound_batches, in_held_out_fold
 from ledgerloom.llm.queries import TARGETS, domain_labels, table
 from ledgerloom.sources.scratch import shared_folder
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_bounded_batches(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose toxicity is one half or more.
@@ -53,8 +66,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drawn.where(F.col(copies) > 0).drop(posteriors)
 
 
-STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),
-          ("decontamination", drop_contaminated), ("personal_data", sanitise), ("mixing", mix)]
+STAGES = [(name, in_bounded_batches(stage)) for name, stage in (
+    ("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated), ("personal_data", sanitise), ("mixing", mix))]
 
 # The stages are classifiers, hashes and iterations, which SQL does not express.
 ORACLE_SQL = None

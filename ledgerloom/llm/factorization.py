@@ -57,7 +57,7 @@ def collect_features(sample: DataFrame, buckets: int) -> tuple[np.ndarray, np.nd
 
     rows = sample.mapInPandas(run, "x binary, label int").toPandas()
     width = Featurizer(buckets).width
-    x = np.frombuffer(b"".join(rows["x"]), dtype=np.float16).reshape(-1, width)
+    x = np.frombuffer(b"".join(rows.pop("x")), dtype=np.float16).reshape(-1, width)
     order = np.lexsort((x.sum(axis=1, dtype=np.float64), rows["label"].to_numpy()))
     return x[order].astype(np.float32), rows["label"].to_numpy(np.int64)[order]
 

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.scratch import Stage
 
 MAX_CACHED_WORDS = 500_000
+# Hashes are cheap to make again; a task keeps some 8 MB of them.
+MAX_CACHED_HASHES = 1 << 16
+# A task holds a batch several times over: as vectors in the JVM, as such and as texts in Python.
+BATCH_BYTES = 4 << 20
 
 _stages: dict[str, Stage] = {}
 
@@ -50,6 +54,14 @@ def _discard(app: str) -> None:
         pass
 
 
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Send rows to Python in batches of at most ``most`` bytes, so that long texts make short batches.
+
+    A setting of the session, which a plan takes when it is run; no result depends on it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, as ``id`` and ``text`` (null text: empty)."""
     return docs.select(F.col(id_col).alias("id"),
@@ -102,7 +114,7 @@ class WordHash(dict):
         self.modulus = modulus
 
     def __missing__(self, word) -> int:
-        if len(self) >= MAX_CACHED_WORDS:
+        if len(self) >= MAX_CACHED_HASHES:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word) % self.modulus
         return value

@@ -43,10 +43,20 @@ class DomainModel:
     buckets: int
 
     def posteriors(self, x: np.ndarray) -> np.ndarray:
-        x = np.clip((x - self.centre) / self.scale, -5, 5)
-        logits = x @ self.weights[:-1] + self.weights[-1]
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+        return softmax(prepared(x, self.centre, self.scale), self.weights)
+
+
+def prepared(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised features, in the memory of ``x``."""
+    x -= centre
+    x /= scale
+    return np.clip(x, -5, 5, out=x)
+
+
+def softmax(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    logits = x @ weights[:-1] + weights[-1]
+    e = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
 
 
 def fit(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...], domain_col: str,
@@ -58,15 +68,15 @@ def fit(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...], domain_col
     number = F.array_position(F.array(*map(F.lit, domains)), F.col("label")).cast("int") - 1
     x, label = collect_features(sample.select("text", number.alias("label")), buckets)
     centre, scale = standardise(x)
-    model = DomainModel(domains, np.zeros((x.shape[1] + 1, len(domains)), np.float32),
-                        centre, scale, buckets)
-    design = np.c_[np.clip((x - centre) / scale, -5, 5), np.ones(len(x), np.float32)]
+    # The driver holds the sample once.
+    x = prepared(x, centre, scale)
     wanted = np.eye(len(domains), dtype=np.float32)[label]
-    moment = np.zeros_like(model.weights)
-    weights = model.weights
+    weights = np.zeros((x.shape[1] + 1, len(domains)), np.float32)
+    moment = np.zeros_like(weights)
     for _ in range(steps if len(x) else 0):
-        fitted = DomainModel(domains, weights, centre, scale, buckets).posteriors(x)
-        moment = 0.9 * moment + design.T @ (fitted - wanted) / len(x) + penalty * weights
+        over = softmax(x, weights) - wanted
+        slope = np.vstack([x.T @ over, over.sum(axis=0, keepdims=True)])
+        moment = 0.9 * moment + slope / len(x) + penalty * weights
         weights = weights - rate * 0.1 * moment
     return DomainModel(domains, weights, centre, scale, buckets)
 
@@ -79,7 +89,7 @@ def describe(model: DomainModel, text: Column) -> Column:
         for texts in batches:
             rows = texts.tolist()
             p = [np.round(model.posteriors(x).astype(np.float64), 6).tolist()
-                 for x in featurizer.batches(rows)]
+                 for x in featurizer.batches(rows, 128)]
             yield pd.DataFrame({"tokens": [len(t.encode("utf-8", "replace").split()) for t in rows],
                                 "p": [row for part in p for row in part]})
 
