@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Day-first dates, read with or without zero padding.
 READ_DAY_FIRST = "d/M/yyyy"
 WRITE_DAY_FIRST = "dd/MM/yyyy"
+PADDED = r"^[0-3][0-9]/[01][0-9]/[1-9][0-9]{3}\z"
 
 
 def month_start(date: Column) -> Column:
@@ -42,7 +43,10 @@ def day_weighted(amount: Column, date: Column) -> Column:
 
 
 def parse_day_first(text: Column) -> Column:
-    return F.to_date(text, READ_DAY_FIRST)
+    """Padded dates, which are most, are cast; the pattern reads, or rejects, all others."""
+    iso = F.concat(F.substring(text, 7, 4), F.lit("-"), F.substring(text, 4, 2), F.lit("-"),
+                   F.substring(text, 1, 2))
+    return F.coalesce(F.when(text.rlike(PADDED), iso.try_cast("date")), F.to_date(text, READ_DAY_FIRST))
 
 
 def format_day_first(date: Column) -> Column:

@@ -33,7 +33,7 @@ def sanitize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if field.name in chosen and isinstance(field.dataType, T.StringType):
-            column = F.when(column != "nan", F.regexp_replace(column, "'", ""))
+            column = F.when(column != "nan", F.replace(column, F.lit("'"), F.lit("")))
         elif field.name in chosen and isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             column = F.when(~F.isnan(column), column)
         cleaned.append(column.alias(field.name))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from enum import Enum
 from functools import reduce
@@ -41,6 +42,8 @@ PROGRESS = "load_progress"
 PROGRESS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("dataset", "state")])
 # The latest snapshot of balances is then found by partition, not by scan.
 PARTITIONS = {"balances": ("calendar_date",)}
+# Extracts read at once: the last tasks of one leave cores to the next.
+AHEAD = 3
 
 
 class Outcome(Enum):
@@ -123,14 +126,15 @@ def kept_fixes(tables: SnapshotTables, loaded: DataFrame) -> DataFrame | None:
 
 
 def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[str, str] | str,
-         stage) -> None:
+         stage, ahead: Mapping[str, Future[DataFrame]] | None = None) -> None:
     """Load extracts of one table as one change: all of them or none.
 
     The table is replaced, or added to where the first extract is an additive one.
     Rows are checked before anything is published. Ids are assigned from 1, or
     on from the table's highest, so they need no check. Fixes that were booked
     on the expenses stay booked when the transactions are loaded afresh; those that
-    the extract or the table holds are not loaded once more.
+    the extract or the table holds are not loaded once more. Extracts whose checked
+    rows are ``ahead`` are not read again.
     """
     if isinstance(datasets, str):
         datasets, paths = [datasets], {datasets: paths}
@@ -139,7 +143,8 @@ def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[s
     parts = []
     for dataset in datasets:
         try:
-            parts.append(checked_rows(tables, dataset, paths[dataset], stage))
+            parts.append(ahead[dataset].result() if ahead and dataset in ahead
+                         else checked_rows(tables, dataset, paths[dataset], stage))
         except Exception as error:
             raise LoadError(f"loading {dataset} failed: {error}") from error
     if "expenses" in datasets:
@@ -153,7 +158,7 @@ def load(tables: SnapshotTables, datasets: str | Sequence[str], paths: Mapping[s
         start = _next_id(tables.read(table, schemas.TABLES[table])) if adds else 1
         for k, rows in enumerate(parts):
             parts[k] = maintenance.assign_ids(rows, start, stage=stage)
-            start += rows.count()
+            start += rows.count() if k + 1 < len(parts) else 0
     names = schemas.TABLES[table].names
     rows = reduce(DataFrame.unionByName, [part.select(*names) for part in parts])
     if adds:
@@ -169,25 +174,38 @@ def load_all(tables: SnapshotTables, files: LedgerFiles, stage,
     Neighbours that share a table are one change, so no half of it is ever seen. What was
     loaded is recorded with the extracts' state until the whole order is done. With
     ``resume`` a load that stopped goes on after the tables whose extracts have not changed
-    since; from the first that has, all are loaded.
+    since; from the first that has, all are loaded. Extracts are read and checked
+    ``AHEAD`` at a time; tables change in order, and none after a failure.
     """
     done = _progress(tables) if resume else {}
     record: dict[str, str] = {}
-    for table, group in groupby(order, key=TARGET.get):
-        datasets = list(group)
+    groups = [(table, list(group)) for table, group in groupby(order, key=TARGET.get)]
+    while groups:
+        datasets = groups[0][1]
         state = {d: _state(tables.spark, d, files.extracts[d]) for d in datasets}
-        if all(done.get(d) == state[d] for d in datasets):
-            record |= state
-            continue
-        done = {}
-        try:
-            load(tables, datasets, files.extracts, stage)
-        except LoadError:
-            raise
-        except Exception as error:
-            raise LoadError(f"loading {table} failed: {error}") from error
+        if not all(done.get(d) == state[d] for d in datasets):
+            break
         record |= state
-        _record_progress(tables, record)
+        groups.pop(0)
+    pool = ThreadPoolExecutor(AHEAD)
+    try:
+        # A state is taken before its extract is read.
+        states = [{d: pool.submit(_state, tables.spark, d, files.extracts[d]) for d in datasets}
+                  for _, datasets in groups]
+        ahead = [{d: pool.submit(checked_rows, tables, d, files.extracts[d], stage) for d in datasets}
+                 for _, datasets in groups]
+        for (table, datasets), state, rows in zip(groups, states, ahead):
+            state = {d: found.result() for d, found in state.items()}
+            try:
+                load(tables, datasets, files.extracts, stage, rows)
+            except LoadError:
+                raise
+            except Exception as error:
+                raise LoadError(f"loading {table} failed: {error}") from error
+            record |= state
+            _record_progress(tables, record)
+    finally:
+        pool.shutdown(cancel_futures=True)
     _record_progress(tables, {})
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ MISSING = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
+LONGEST_MISSING = max(map(len, MISSING))
 
 _MOVEMENT = schemas.without(schemas.TRANSACTIONS, "id", "transaction_type")
 
@@ -59,6 +60,11 @@ def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     return {names: sorted(files) for names, files in found.items() if names}
 
 
+def _given(value: Column) -> Column:
+    """Whether a text is none of the ``MISSING`` ones; longer texts are not compared with them."""
+    return (F.octet_length(value) > LONGEST_MISSING) | ~value.isin(*MISSING)
+
+
 def read_text(spark: SparkSession, path: str, position: str | None = None,
               required: tuple[str, ...] = ()) -> DataFrame:
     """Every column as text under its lower-cased header name, missing as NULL.
@@ -79,10 +85,8 @@ def read_text(spark: SparkSession, path: str, position: str | None = None,
                .option("enforceSchema", False).option("escape", '"').option("multiLine", False)
                .schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
                .csv(files))
-        columns = [
-            F.when(~F.col(f"`{name}`").isin(*MISSING), F.col(f"`{name}`")).alias(low)
-            for name, low in zip(names, lowered)
-        ]
+        columns = [F.when(_given(F.col(f"`{name}`")), F.col(f"`{name}`")).alias(low)
+                   for name, low in zip(names, lowered)]
         if position:
             # Lines of one block of a file are read in order by one task.
             columns.append(F.struct(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -310,3 +311,24 @@ def test_a_load_that_stopped_goes_on_where_it_stopped(start, spark):
     runs.load_all(tables, files, stage, resume=True)
     assert held() == {"transactions": 4, "exchanges": 4, "transfers": 3}
     assert len(ledger_rows(tables)) == 3
+
+
+def test_extracts_are_read_while_others_are_and_tables_change_in_order(start, monkeypatch):
+    tables, files, stage = start()
+    met, published = threading.Barrier(2, timeout=60), []
+    read, publish = runs.prepare, SnapshotTables.publish
+
+    def meeting(spark, dataset, path):
+        if dataset in ("income", "expenses"):
+            met.wait()  # neither goes on alone
+        return read(spark, dataset, path)
+
+    def noted(self, table, *rest):
+        published.append(table)
+        return publish(self, table, *rest)
+
+    monkeypatch.setattr(runs, "prepare", meeting)
+    monkeypatch.setattr(SnapshotTables, "publish", noted)
+    runs.load_all(tables, files, stage)
+    assert [t for t in published if t != runs.PROGRESS] == [
+        "transactions", "exchanges", "transfers", "balances", "prices"]

@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import reduce, wraps
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -412,12 +413,18 @@ def loaded(spark: SparkSession, sf_dir: str) -> SnapshotTables:
     """The ledger, written as extracts and loaded in order."""
     folder = f"{session_stage(spark).folder}/run-{uuid.uuid4().hex[:8]}"
     day = dates.format_day_first(F.col("calendar_date"))
-    extracts = {"income": unsigned(spark, sf_dir, INCOME), "expenses": unsigned(spark, sf_dir, EXPENSES)}
-    extracts |= {extract: view(spark, sf_dir, name) for extract, name in (
-        ("exchange", "exchanges"), ("transf", "transfers"), ("balances", "balances"))}
-    for name, rows in extracts.items():
-        csv_files.write_csv(rows.drop("id").withColumn("calendar_date", day), f"{folder}/{name}.csv")
-    csv_files.write_csv(price_matrix(spark, sf_dir), f"{folder}/prices.csv")
+    extracts = {"exchange": partial(view, spark, sf_dir, "exchanges"), "balances": partial(view, spark, sf_dir, "balances"),
+                "prices": partial(price_matrix, spark, sf_dir), "income": partial(unsigned, spark, sf_dir, INCOME),
+                "expenses": partial(unsigned, spark, sf_dir, EXPENSES), "transf": partial(view, spark, sf_dir, "transfers")}
+
+    def extract(name: str) -> None:
+        rows = extracts[name]()
+        if name != "prices":
+            rows = rows.drop("id").withColumn("calendar_date", day)
+        csv_files.write_csv(rows, f"{folder}/{name}.csv")
+
+    with ThreadPoolExecutor(runs.AHEAD) as pool:
+        list(pool.map(extract, extracts))
     tables = SnapshotTables(spark, f"{folder}/tables")
     paths = {name: f"{folder}/{name}.csv" for name in runs.LOAD_ORDER}
     runs.load_all(tables, runs.LedgerFiles(paths, f"{folder}/reports"), session_stage(spark))
