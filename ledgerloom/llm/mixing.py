@@ -69,14 +69,15 @@ def fit(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...], domain_col
     x, label = collect_features(sample.select("text", number.alias("label")), buckets)
     centre, scale = standardise(x)
     # The driver holds the sample once.
-    x = prepared(x, centre, scale)
+    design = np.ones((len(x), x.shape[1] + 1), np.float32)
+    design[:, :-1] = prepared(x, centre, scale)
+    del x
     wanted = np.eye(len(domains), dtype=np.float32)[label]
-    weights = np.zeros((x.shape[1] + 1, len(domains)), np.float32)
+    weights = np.zeros((design.shape[1], len(domains)), np.float32)
     moment = np.zeros_like(weights)
-    for _ in range(steps if len(x) else 0):
-        over = softmax(x, weights) - wanted
-        slope = np.vstack([x.T @ over, over.sum(axis=0, keepdims=True)])
-        moment = 0.9 * moment + slope / len(x) + penalty * weights
+    for _ in range(steps if len(design) else 0):
+        over = softmax(design[:, :-1], weights) - wanted
+        moment = 0.9 * moment + design.T @ over / len(design) + penalty * weights
         weights = weights - rate * 0.1 * moment
     return DomainModel(domains, weights, centre, scale, buckets)
 
@@ -89,7 +90,7 @@ def describe(model: DomainModel, text: Column) -> Column:
         for texts in batches:
             rows = texts.tolist()
             p = [np.round(model.posteriors(x).astype(np.float64), 6).tolist()
-                 for x in featurizer.batches(rows, 128)]
+                 for x in featurizer.batches(rows, 256)]
             yield pd.DataFrame({"tokens": [len(t.encode("utf-8", "replace").split()) for t in rows],
                                 "p": [row for part in p for row in part]})
 
